@@ -12,6 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import checkpoint_root
+
+# Per-group tables with at most this many rows are broadcast back to the
+# rows; larger ones are joined with a shuffle (AQE splits skewed keys).
+MAX_BROADCAST_GROUPS = 500_000
+
 
 def _cols(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
@@ -42,9 +48,9 @@ def argmax_by(
 
     ``ties='all'`` keeps every row equal to the group maximum (the window
     semantics). The maximum is a partial aggregate, joined back on
-    (keys, value): the join key includes the value, so a hot group is spread
-    over many partitions if Spark shuffles, and AQE turns it into a
-    broadcast when the per-group table proves small at run time.
+    (keys, value): broadcast when the per-group table is small (checked),
+    otherwise a shuffle join whose key includes the value, so a hot group
+    is spread over many partitions.
 
     ``ties='one'`` keeps one row per group, the largest by
     (value, *tie_break); it is a single aggregation of ``max(struct(...))``.
@@ -52,7 +58,7 @@ def argmax_by(
     """
     keys = _cols(keys)
     if ties == "all":
-        best = df.groupBy(*keys).agg(F.max(value).alias("__best")).alias("__r")
+        best = _sized(df.groupBy(*keys).agg(F.max(value).alias("__best"))).alias("__r")
         cond = _key_match(keys) + [F.col(f"__l.`{value}`") == F.col("__r.__best")]
         return df.alias("__l").join(best, cond, "inner").select(*_left_cols(df))
     if ties == "one":
@@ -68,14 +74,28 @@ def with_group_max(df: DataFrame, keys: str | Sequence[str], value: str, out: st
     """Every row plus the maximum of ``value`` over its group, i.e.
     ``max(value) over (partition by keys)`` without sending a whole group
     to one task: partial aggregate, then join back on the keys (broadcast
-    by AQE when small, otherwise a sort-merge join with skew splitting).
+    when the group table is small, otherwise a sort-merge join that AQE
+    splits on skewed keys).
     """
     keys = _cols(keys)
-    best = df.groupBy(*keys).agg(F.max(value).alias(out)).alias("__r")
+    best = _sized(df.groupBy(*keys).agg(F.max(value).alias(out))).alias("__r")
     joined = df.alias("__l").join(best, _key_match(keys), "inner")
     return joined.select(*_left_cols(df), F.col(f"__r.`{out}`"))
 
 
+def _sized(groups_df: DataFrame) -> DataFrame:
+    """Materialise a per-group table once and broadcast it only if its row
+    count is within ``MAX_BROADCAST_GROUPS``.
+
+    The reliable checkpoint (shared folder) runs the aggregation a single
+    time, cuts its lineage and gives an exact row count; the rows side then
+    needs no shuffle at all when the table is broadcast.
+    """
+    checkpoint_root(groups_df.sparkSession)
+    table = groups_df.checkpoint(eager=True)
+    return F.broadcast(table) if table.count() <= MAX_BROADCAST_GROUPS else table
+
+
 def _key_match(keys: list[str]) -> list[Column]:
     # Null-safe, like a window partition: NULL keys form one group.
     return [F.col(f"__l.`{k}`").eqNullSafe(F.col(f"__r.`{k}`")) for k in keys]

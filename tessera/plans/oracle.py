@@ -171,6 +171,26 @@ TAXI["join_broadcast"] = _BOUNDED_JOIN
 TAXI["join_sort_merge"] = _BOUNDED_JOIN
 
 
+VENDORS_CSV = VENDORS.replace("vendors AS", "vendors_csv AS")
+
+INGEST = {
+    "scan_text": with_ctes(TRIPS, TRIP_LINES, body="SELECT value FROM trip_lines"),
+    "parse_delimited": with_ctes(TRIPS, TRIPS_CSV, body=f"SELECT {COLS8} FROM trips_csv"),
+    "scan_csv": with_ctes(TRIPS, TRIPS_CSV, body=f"SELECT {COLS8} FROM trips_csv"),
+    "scan_csv_dropmalformed": with_ctes(
+        TRIPS, TRIPS_CSV, body=f"SELECT {COLS8} FROM trips_csv WHERE NOT malformed"),
+    "csv_to_parquet": with_ctes(
+        TRIPS, TRIPS_CSV, body=f"SELECT {COLS8} FROM trips_csv WHERE NOT malformed"),
+    "longest_trip_csv": with_ctes(TRIPS, TRIPS_CSV, VENDORS, f"""joined AS (
+  SELECT v.vendor_id, t.trip_id, {DIST_COMPAT} AS distance, {DURATION} AS duration
+  FROM trips_csv t JOIN vendors v ON t.trip_id = v.trip_id
+  WHERE {BOX})""", body="""
+SELECT vendor_id, trip_id, distance, duration FROM (
+  SELECT *, max(distance) OVER (PARTITION BY vendor_id) AS max_distance FROM joined)
+WHERE distance = max_distance"""),
+}
+
+
 def stop_words_sql() -> str:
     """The stop-word list as a SQL list literal."""
     quoted = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
@@ -179,3 +199,4 @@ def stop_words_sql() -> str:
 
 ORACLE: dict[str, str] = {}
 ORACLE.update(TAXI)
+ORACLE.update(INGEST)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import taxi
+from tessera.plans import ingest, taxi
 from tessera.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,4 +49,13 @@ QUERIES: dict[str, Query] = {
     "join_broadcast": _on_trips_vendors(taxi.join_broadcast),
     "join_sort_merge": _on_trips_vendors(taxi.join_sort_merge),
     "limit_build_side": lambda spark, d: taxi.limit_build_side(fx.vendors(spark, d)),
+    # sources and sinks
+    "scan_text": ingest.scan_text,
+    "parse_delimited": ingest.parse_delimited,
+    "scan_csv": ingest.scan_csv,
+    "scan_csv_dropmalformed": ingest.scan_csv_dropmalformed,
+    "csv_to_parquet": ingest.csv_to_parquet,
+    "hourly_avg_pickup_csv": ingest.hourly_avg_pickup_csv,
+    "hourly_avg_pickup_text": ingest.hourly_avg_pickup_text,
+    "longest_trip_csv": ingest.longest_trip_csv,
 }
