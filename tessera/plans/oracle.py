@@ -192,11 +192,85 @@ WHERE distance = max_distance"""),
 
 
 def stop_words_sql() -> str:
-    """The stop-word list as a SQL list literal."""
+    """The stop-word list as a parenthesised SQL IN list."""
     quoted = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
-    return f"[{quoted}]"
+    return f"({quoted})"
+
+
+COMPLAINTS = f"""complaints AS (
+  SELECT doc_id,
+         concat(CASE WHEN doc_id % {fx.SKIPPED_YEAR_MOD} = 0 THEN '2009' ELSE '2015' END,
+                '-03-10,', lang, ',',
+                CASE WHEN doc_id % {fx.KEEP_COMMAS_MOD} = 0 THEN text
+                     ELSE replace(text, ',', ' ') END) AS line
+  FROM documents)"""
+VALID = """valid AS (
+  SELECT doc_id, parts[2] AS label, parts[3] AS comment FROM (
+    SELECT doc_id, string_split(line, ',') AS parts FROM complaints)
+  WHERE len(parts) = 3 AND length(parts[3]) > 0 AND starts_with(parts[1], '201'))"""
+CLEANED = """cleaned AS (
+  SELECT doc_id, label, trim(lower(regexp_replace(comment, '[^a-zA-Z]+', ' ', 'g'))) AS clean
+  FROM valid)"""
+TOKENS = """tokens AS (
+  SELECT doc_id, label, CAST(unnest(range(len(w))) AS INTEGER) AS pos, unnest(w) AS word
+  FROM (SELECT doc_id, label, string_split(clean, ' ') AS w FROM cleaned))"""
+CONTENT = f"""content AS (
+  SELECT doc_id, pos, word FROM tokens WHERE word NOT IN {stop_words_sql()})"""
+WORD_COUNT = """word_count AS (SELECT word, count(*) AS n FROM content GROUP BY word)"""
+LEXICON = """lexicon AS (
+  SELECT CAST(row_number() OVER (ORDER BY n DESC, word) - 1 AS INTEGER) AS idx, word, n
+  FROM word_count ORDER BY n DESC, word LIMIT 50)"""
+LEX_TOKENS = """lex_tokens AS (
+  SELECT t.doc_id, t.label, t.pos, t.word, l.idx FROM tokens t JOIN lexicon l ON t.word = l.word)"""
+TF = """tf AS (
+  SELECT doc_id, label, word, idx, count(*) AS tf FROM lex_tokens GROUP BY doc_id, label, word, idx)"""
+DF = """dfreq AS (SELECT word, count(*) AS df FROM tf GROUP BY word)"""
+IDF = """idf AS (
+  SELECT word, ln((SELECT count(*) FROM valid) / CAST(df AS DOUBLE)) AS idf FROM dfreq)"""
+TF_NORM = """tf_norm AS (
+  SELECT doc_id, label, word, idx,
+         CAST(0.5 AS DOUBLE) + CAST(0.5 AS DOUBLE) * tf / max(tf) OVER (PARTITION BY doc_id) AS tf_norm
+  FROM tf)"""
+TFIDF = """tfidf AS (
+  SELECT n.doc_id, n.label, n.idx, n.word, n.tf_norm * i.idf AS weight
+  FROM tf_norm n JOIN idf i ON n.word = i.word)"""
+VECTORS = """vectors AS (
+  SELECT doc_id, label AS label_f,
+         string_agg(CAST(idx AS VARCHAR) || ':' || CAST(CAST(round(weight * 1000000) AS BIGINT) AS VARCHAR),
+                    ' ' ORDER BY idx) AS features_key
+  FROM tfidf GROUP BY doc_id, label)"""
+
+TEXT_CHAIN = [COMPLAINTS, VALID, CLEANED, TOKENS, CONTENT, WORD_COUNT, LEXICON, LEX_TOKENS,
+              TF, DF, IDF, TF_NORM, TFIDF, VECTORS]
+
+
+def text_sql(upto: str, body: str) -> str:
+    """CTE chain of the text pipeline up to the CTE named ``upto``."""
+    names = [c.split(" AS ", 1)[0] for c in TEXT_CHAIN]
+    return with_ctes(*TEXT_CHAIN[: names.index(upto) + 1], body=body)
+
+
+TEXT = {
+    "filter_valid_records": text_sql("valid", "SELECT doc_id, label, comment FROM valid"),
+    "clean_text": text_sql("cleaned", "SELECT doc_id, label, clean FROM cleaned"),
+    "tokenize_explode": text_sql("tokens", "SELECT doc_id, label, pos, word FROM tokens"),
+    "remove_stopwords": text_sql("content", "SELECT doc_id, pos, word FROM content"),
+    "word_count": text_sql("word_count", "SELECT word, n FROM word_count"),
+    "top_k_words": text_sql("word_count", "SELECT word, n FROM word_count ORDER BY n DESC, word LIMIT 50"),
+    "lexicon": text_sql("lexicon", "SELECT idx, word, n FROM lexicon"),
+    "filter_to_lexicon": text_sql("lex_tokens", "SELECT doc_id, label, pos, word, idx FROM lex_tokens"),
+    "term_frequency": text_sql("tf", "SELECT doc_id, label, word, idx, tf FROM tf"),
+    "document_frequency": text_sql("dfreq", "SELECT word, df FROM dfreq"),
+    "idf": text_sql("idf", "SELECT word, round(idf, 6) AS idf FROM idf"),
+    "tf_double_norm": text_sql("tf_norm", "SELECT doc_id, label, word, idx, tf_norm FROM tf_norm"),
+    "tfidf": text_sql("tfidf", "SELECT doc_id, label, idx, word, round(weight, 6) AS weight FROM tfidf"),
+    "tfidf_sparse": text_sql(
+        "tfidf",
+        "SELECT doc_id, label AS label_f, idx, round(weight, 6) AS value FROM tfidf WHERE weight <> 0"),
+}
 
 
 ORACLE: dict[str, str] = {}
 ORACLE.update(TAXI)
 ORACLE.update(INGEST)
+ORACLE.update(TEXT)

@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import ingest, taxi
+from pyspark.sql import functions as F
+
+from tessera.plans import ingest, taxi, text
 from tessera.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +21,14 @@ def _on_trips(fn) -> Query:
     return lambda spark, sf_dir: fn(fx.trips(spark, sf_dir))
 
 
+def _on_complaints(fn) -> Query:
+    return lambda spark, sf_dir: fn(fx.complaints(spark, sf_dir))
+
+
+def _rounded(fn, column: str, decimals: int = 6):
+    return lambda c: fn(c).withColumn(column, F.round(column, decimals))
+
+
 def _on_trips_vendors(fn) -> Query:
     return lambda spark, sf_dir: fn(fx.trips(spark, sf_dir), fx.vendors(spark, sf_dir))
 
@@ -58,4 +68,19 @@ QUERIES: dict[str, Query] = {
     "hourly_avg_pickup_csv": ingest.hourly_avg_pickup_csv,
     "hourly_avg_pickup_text": ingest.hourly_avg_pickup_text,
     "longest_trip_csv": ingest.longest_trip_csv,
+    # text features
+    "filter_valid_records": _on_complaints(text.valid_records),
+    "clean_text": _on_complaints(text.cleaned),
+    "tokenize_explode": _on_complaints(text.tokens),
+    "remove_stopwords": _on_complaints(text.content_tokens),
+    "word_count": _on_complaints(text.word_count),
+    "top_k_words": _on_complaints(text.top_k_words),
+    "lexicon": _on_complaints(text.lexicon),
+    "filter_to_lexicon": _on_complaints(text.lexicon_tokens),
+    "term_frequency": _on_complaints(text.term_frequency),
+    "document_frequency": _on_complaints(text.document_frequency),
+    "idf": _on_complaints(_rounded(text.idf, "idf")),
+    "tf_double_norm": _on_complaints(text.tf_double_norm),
+    "tfidf": _on_complaints(_rounded(text.tfidf, "weight")),
+    "tfidf_sparse": _on_complaints(text.tfidf_sparse),
 }
