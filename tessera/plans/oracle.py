@@ -270,7 +270,47 @@ TEXT = {
 }
 
 
+LABELLED = """labelled AS (
+  SELECT v.doc_id, v.label_f, li.label, v.features_key
+  FROM vectors v JOIN (
+    SELECT label_f, CAST(row_number() OVER (ORDER BY n DESC, label_f) - 1 AS DOUBLE) AS label
+    FROM (SELECT label_f, count(*) AS n FROM vectors GROUP BY label_f)) li
+  ON v.label_f = li.label_f)"""
+ROWS = """rows AS (SELECT DISTINCT label_f, label, features_key FROM labelled)"""
+SPLIT = """split AS (
+  SELECT label_f, label, features_key,
+         CASE WHEN CAST('0x' || substr(md5(concat_ws('|', '10', label_f, features_key)), 1, 8) AS BIGINT)
+                   % 10000 < 8000 THEN 'train' ELSE 'test' END AS split
+  FROM rows)"""
+
+
+def learn_sql(body: str) -> str:
+    return with_ctes(*TEXT_CHAIN, LABELLED, ROWS, SPLIT, body=body)
+
+
+LEARN = {
+    "label_index": learn_sql("SELECT label_f, label, count(*) AS n FROM labelled GROUP BY label_f, label"),
+    "dedup_rows": learn_sql("SELECT label_f, label, features_key FROM rows"),
+    "class_counts": learn_sql("""
+SELECT 'all' AS split, label_f, count(*) AS n FROM split GROUP BY label_f
+UNION ALL
+SELECT split, label_f, count(*) AS n FROM split GROUP BY split, label_f"""),
+    "class_cardinality": learn_sql("SELECT count(DISTINCT label_f) AS n_classes FROM rows"),
+    "distinct_labels": learn_sql("SELECT DISTINCT label_f, label FROM rows"),
+    "stratified_split_hash": learn_sql("SELECT label_f, label, features_key, split FROM split"),
+    "except_distinct": learn_sql("""
+SELECT label_f, label, features_key FROM rows
+EXCEPT
+SELECT label_f, label, features_key FROM split WHERE split = 'train'"""),
+    "except_all": learn_sql("""
+SELECT label_f, label, features_key FROM labelled
+EXCEPT ALL
+SELECT label_f, label, features_key FROM split WHERE split = 'train'"""),
+    "number_rows": text_sql("valid", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM valid"),
+}
+
 ORACLE: dict[str, str] = {}
 ORACLE.update(TAXI)
 ORACLE.update(INGEST)
 ORACLE.update(TEXT)
+ORACLE.update(LEARN)

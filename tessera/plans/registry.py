@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tessera.plans import ingest, taxi, text
+from tessera.plans import ingest, learn, taxi, text
 from tessera.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,4 +83,17 @@ QUERIES: dict[str, Query] = {
     "tf_double_norm": _on_complaints(text.tf_double_norm),
     "tfidf": _on_complaints(_rounded(text.tfidf, "weight")),
     "tfidf_sparse": _on_complaints(text.tfidf_sparse),
+    # labels, splits, set operations, classifier
+    "label_index": _on_complaints(learn.label_index),
+    "dedup_rows": _on_complaints(learn.dedup_rows),
+    "class_counts": _on_complaints(learn.class_counts),
+    "class_cardinality": _on_complaints(learn.class_cardinality),
+    "distinct_labels": _on_complaints(learn.distinct_labels),
+    "stratified_sample": _on_complaints(learn.stratified_sample),
+    "stratified_split_hash": _on_complaints(learn.stratified_split_hash),
+    "except_distinct": _on_complaints(learn.except_distinct),
+    "except_all": _on_complaints(learn.except_all),
+    "number_rows": _on_complaints(learn.number_rows),
+    "mlp_train_predict": _on_complaints(learn.mlp_predictions),
+    "mlp_accuracy": _on_complaints(learn.mlp_accuracy),
 }
