@@ -163,6 +163,7 @@ FROM trips t JOIN vendors v ON t.trip_id = v.trip_id"""),
         VENDORS, body="SELECT trip_id, vendor_id FROM vendors ORDER BY trip_id LIMIT 50"),
 }
 TAXI["longest_trip_sql"] = TAXI["longest_trip_window"]
+TAXI["longest_trip_stream"] = TAXI["longest_trip_argmax"]
 _BOUNDED_JOIN = with_ctes(TRIPS, VENDORS, body=f"""
 SELECT t.trip_id, trip_start_time, trip_end_time, trip_start_long, trip_start_lat,
        trip_end_long, trip_end_lat, trip_cost, v.vendor_id

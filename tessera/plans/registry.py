@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import ingest, learn, taxi, text
 from tessera.sources import fixtures as fx
+from tessera.streaming import trips as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,4 +97,7 @@ QUERIES: dict[str, Query] = {
     "number_rows": _on_complaints(learn.number_rows),
     "mlp_train_predict": _on_complaints(learn.mlp_predictions),
     "mlp_accuracy": _on_complaints(learn.mlp_accuracy),
+    # streaming forms
+    "hourly_avg_pickup_stream": streams.hourly_avg_pickup_stream,
+    "longest_trip_stream": streams.longest_trip_stream,
 }

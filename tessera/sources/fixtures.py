@@ -30,7 +30,7 @@ SKIPPED_YEAR_MOD = 10  # complaint dated 2009 (invalid) when doc_id % 10 == 0
 KEEP_COMMAS_MOD = 7  # comment keeps its commas when doc_id % 7 == 0
 
 
-def _trip_columns() -> dict[str, Column]:
+def trip_columns() -> dict[str, Column]:
     eid, uid = F.col("event_id"), F.col("user_id")
 
     def coord(base: int, expr: Column, modulus: int) -> Column:
@@ -51,7 +51,7 @@ def _trip_columns() -> dict[str, Column]:
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips as typed columns, straight from the ``events`` Parquet scan."""
-    cols = _trip_columns()
+    cols = trip_columns()
     return table(spark, sf_dir, "events").select(*[c.alias(n) for n, c in cols.items()])
 
 
@@ -72,7 +72,7 @@ def _wall_clock_text(ts: Column) -> Column:
 
 def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips rendered as header-less CSV text lines (column ``value``)."""
-    cols = _trip_columns()
+    cols = trip_columns()
     eid = F.col("event_id")
     start = F.when(eid % BAD_TIME_MOD == BAD_TIME_REM, F.lit("n/a")).otherwise(
         _wall_clock_text(cols["trip_start_time"])
