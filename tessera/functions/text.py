@@ -34,8 +34,9 @@ def _col(c) -> Column:
 
 
 def field(line, index: int, sep: str = ",") -> Column:
-    """The ``index``-th (0-based) field of a delimited line; NULL if absent."""
-    return F.get(F.split(_col(line), sep, -1), index)
+    """The ``index``-th (0-based) field of a delimited line that has more
+    than ``index`` fields (the last field if it has fewer)."""
+    return F.substring_index(F.substring_index(_col(line), sep, index + 1), sep, -1)
 
 
 def clean_text(c) -> Column:

@@ -11,12 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.geo import haversine_compat, haversine_km, minutes_between
+from tessera.functions.geo import (
+    haversine_compat,
+    haversine_compat_udf,
+    haversine_km,
+    haversine_km_udf,
+    minutes_between,
+)
 from tessera.functions.predicates import clean_trip, in_box
 from tessera.functions.timecols import hour_label, hour_of
 from tessera.operators import groups, joins
 
 DISTANCES = {"compat": haversine_compat, "km": haversine_km}
+# The same formulas through Arrow UDFs: the slow path, for comparison only.
+UDF_DISTANCES = {"compat_udf": haversine_compat_udf, "km_udf": haversine_km_udf}
 # Distances are compared for equality (ties), so they are rounded to a fixed
 # number of decimals first; every engine then agrees on which trips tie.
 DISTANCE_DECIMALS = 6
@@ -24,6 +32,8 @@ POINTS = ("trip_start_long", "trip_start_lat", "trip_end_long", "trip_end_lat")
 
 
 def distance(kind: str = "km"):
+    if kind in UDF_DISTANCES:
+        return F.round(UDF_DISTANCES[kind](*[F.col(c) for c in POINTS]), DISTANCE_DECIMALS)
     return F.round(DISTANCES[kind](*POINTS), DISTANCE_DECIMALS)
 
 
@@ -67,11 +77,7 @@ def trip_distance(trips: DataFrame, kind: str) -> DataFrame:
 
 def trip_distance_udf(trips: DataFrame, kind: str = "km") -> DataFrame:
     """The same distance through the Arrow UDF (benchmark slow path)."""
-    from tessera.functions.geo import haversine_compat_udf, haversine_km_udf
-
-    udf = haversine_km_udf if kind == "km" else haversine_compat_udf
-    d = F.round(udf(*[F.col(c) for c in POINTS]), DISTANCE_DECIMALS)
-    return trips.select("trip_id", d.alias("distance"))
+    return trips.select("trip_id", distance(f"{kind}_udf").alias("distance"))
 
 
 # --- filters and projections --------------------------------------------

@@ -28,6 +28,9 @@ from tessera.operators import groups
 
 LEXICON_SIZE = 50
 WEIGHT_DECIMALS = 6
+# Marks the one row per record that carries N through the word aggregation;
+# cleaned words are [a-z]+ only, so it can never be a real word.
+RECORD_MARKER = "#"
 
 
 def valid_records(complaints: DataFrame) -> DataFrame:
@@ -53,9 +56,34 @@ def content_tokens(complaints: DataFrame) -> DataFrame:
     return tokens(complaints).where(~is_stop_word("word")).select("doc_id", "pos", "word")
 
 
+def doc_words(complaints: DataFrame) -> DataFrame:
+    """(doc_id, label, word, tf): occurrences of each non-stop word in each
+    valid record, plus one row per record with the word ``RECORD_MARKER``
+    (tf 1) that lets N come out of the same aggregation.
+
+    This is the only pass over the texts that the TF-IDF plan needs: the
+    vocabulary statistics and the per-document weights are both computed
+    from it, and Spark reuses its shuffle for both.
+    """
+    exploded = F.explode(F.concat(F.array(F.lit(RECORD_MARKER)), words("clean")))
+    tok = cleaned(complaints).select("doc_id", "label", exploded.alias("word"))
+    return tok.where(~is_stop_word("word")).groupBy("doc_id", "label", "word").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def vocabulary(complaints: DataFrame) -> DataFrame:
+    """(word, n, df): occurrences and documents per word; the marker row
+    carries N (the number of valid records) in both columns.
+
+    Partial aggregation: a word in every document still ships one row per
+    map task."""
+    return doc_words(complaints).groupBy("word").agg(
+        F.sum("tf").alias("n"), F.count("tf").alias("df")
+    )
+
+
 def word_count(complaints: DataFrame) -> DataFrame:
     """(word, n) over all valid records, stop words excluded."""
-    return groups.count_by(content_tokens(complaints), "word", "n")
+    return vocabulary(complaints).where(F.col("word") != RECORD_MARKER).select("word", "n")
 
 
 def top_k_words(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
@@ -63,15 +91,35 @@ def top_k_words(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     return groups.top_k(word_count(complaints), k, [F.desc("n"), F.asc("word")])
 
 
-def lexicon(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(idx, word, n): the top-k words numbered 0..k-1 in rank order.
+def lexicon_stats(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
+    """(idx, word, n, df, idf) for the top-k words, idf = ln(N / df).
 
-    The numbering window runs over k rows only.
+    The marker row (N) is taken along with the k best words, so every
+    window here runs over k + 1 rows.
     """
-    rank = Window.orderBy(F.desc("n"), F.asc("word"))
-    return top_k_words(complaints, k).select(
-        (F.row_number().over(rank) - 1).alias("idx"), "word", "n"
+    is_marker = F.col("word") == RECORD_MARKER
+    marker_first = [is_marker.desc(), F.desc("n"), F.asc("word")]
+    top = groups.top_k(vocabulary(complaints), k + 1, marker_first)
+    everything = Window.partitionBy()
+    ranked = top.select(
+        (F.row_number().over(Window.orderBy(*marker_first)) - 2).alias("idx"),
+        "word",
+        "n",
+        "df",
+        F.max(F.when(is_marker, F.col("n"))).over(everything).alias("n_records"),
     )
+    # The marker ranks first (idx -1). Dropping it by rank rather than by
+    # word keeps Catalyst from inferring a word filter on the other side of
+    # the lexicon join, which would stop the two branches sharing the
+    # doc_words shuffle.
+    return ranked.where(F.col("idx") >= 0).select(
+        "idx", "word", "n", "df", F.log(F.col("n_records") / F.col("df")).alias("idf")
+    )
+
+
+def lexicon(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
+    """(idx, word, n): the top-k words numbered 0..k-1 in rank order."""
+    return lexicon_stats(complaints, k).select("idx", "word", "n")
 
 
 def lexicon_tokens(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
@@ -84,17 +132,20 @@ def lexicon_tokens(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     )
 
 
+def _lexicon_tf(complaints: DataFrame, k: int) -> DataFrame:
+    # The lexicon never holds the marker, so the join drops marker rows.
+    lex = lexicon_stats(complaints, k).select("word", "idx", "idf")
+    return doc_words(complaints).join(F.broadcast(lex), "word")
+
+
 def term_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(doc_id, label, word, idx, tf); partial aggregation per map task, so a
-    huge document never lands whole in one task."""
-    return lexicon_tokens(complaints, k).groupBy("doc_id", "label", "word", "idx").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    """(doc_id, label, word, idx, tf) for the lexicon words."""
+    return _lexicon_tf(complaints, k).select("doc_id", "label", "word", "idx", "tf")
 
 
 def document_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(word, df): number of documents containing the lexicon word."""
-    return groups.count_by(term_frequency(complaints, k), "word", "df")
+    return lexicon_stats(complaints, k).select("word", "df")
 
 
 def n_records(complaints: DataFrame):
@@ -104,25 +155,24 @@ def n_records(complaints: DataFrame):
 
 def idf(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(word, idf) with idf = ln(N / df)."""
-    dfreq = document_frequency(complaints, k)
-    return dfreq.select("word", F.log(n_records(complaints) / F.col("df")).alias("idf"))
+    return lexicon_stats(complaints, k).select("word", "idf")
 
 
-def tf_double_norm(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(doc_id, label, word, idx, tf_norm) = 0.5 + 0.5 tf / max tf of the doc.
-
-    The window partition is one document's lexicon words: <= k rows.
-    """
+def _normalised(complaints: DataFrame, k: int) -> DataFrame:
+    # The window partition is one document's lexicon words: <= k rows.
     doc = Window.partitionBy("doc_id")
-    tf = term_frequency(complaints, k)
     norm = F.lit(0.5) + F.lit(0.5) * F.col("tf") / F.max("tf").over(doc)
-    return tf.select("doc_id", "label", "word", "idx", norm.alias("tf_norm"))
+    return _lexicon_tf(complaints, k).withColumn("tf_norm", norm)
+
+
+def tf_double_norm(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
+    """(doc_id, label, word, idx, tf_norm) = 0.5 + 0.5 tf / max tf of the doc."""
+    return _normalised(complaints, k).select("doc_id", "label", "word", "idx", "tf_norm")
 
 
 def tfidf(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(doc_id, label, idx, word, weight); idf has <= k rows (broadcast)."""
-    weights = tf_double_norm(complaints, k).join(F.broadcast(idf(complaints, k)), "word")
-    return weights.select(
+    """(doc_id, label, idx, word, weight = tf_norm * idf)."""
+    return _normalised(complaints, k).select(
         "doc_id", "label", "idx", "word", (F.col("tf_norm") * F.col("idf")).alias("weight")
     )
 

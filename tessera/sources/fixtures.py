@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import shared_path
 from tessera.sources import readers, schemas, sinks
-from tessera.sources.tables import table
+from tessera.sources.tables import spread, table
 
 # Fixed values of the fixture definition (shared with the SQL oracle).
 BAD_TIME_MOD, BAD_TIME_REM = 89, 3  # start time rendered as "n/a"
@@ -104,7 +104,7 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     The label is the document language. Each document is one record, so
     line breaks inside a comment do not split it.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
     year = F.when(F.col("doc_id") % SKIPPED_YEAR_MOD == 0, F.lit("2009")).otherwise(F.lit("2015"))
     comment = F.when(F.col("doc_id") % KEEP_COMMAS_MOD == 0, F.col("text")).otherwise(
         F.regexp_replace("text", ",", " ")

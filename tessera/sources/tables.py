@@ -15,3 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan over the cluster's cores when it yields fewer splits
+    than there are cores (a file written as one big row group, an
+    unsplittable file). Meant for CPU-heavy work such as text processing;
+    a large input already has many splits and passes through unchanged.
+
+    With ``keys`` (a unique key is best) rows are hash-partitioned, which
+    needs no sort; without, round-robin. ``repartition(n)`` keeps its n
+    partitions (AQE does not merge them).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
