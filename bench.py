@@ -81,9 +81,13 @@ def main() -> None:
             best = min(best, time.time() - start)
         timings[name] = round(best, 3)
 
-    for name, cache in (("mlp_fit_cached", True), ("mlp_fit_uncached", False)):
-        ds = learn.dataset(comp())
-        train = learn.train_rows(ds)
+    # The training rows are materialised once (reliable checkpoint) so both
+    # fits start from the same input, as the original runs started from a
+    # prepared DataFrame; a short untimed fit warms the code paths.
+    ds = learn.dataset(comp())
+    train = learn.train_rows(ds).checkpoint(eager=True)
+    learn.train_mlp(train, text.LEXICON_SIZE, ds.n_classes, cache=False, max_iter=2)
+    for name, cache in (("mlp_fit_uncached", False), ("mlp_fit_cached", True)):
         start = time.time()
         learn.train_mlp(train, text.LEXICON_SIZE, ds.n_classes, cache=cache, max_iter=mlp_iter)
         timings[name] = round(time.time() - start, 3)
