@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -23,11 +24,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     unsplittable file). Meant for CPU-heavy work such as text processing;
     a large input already has many splits and passes through unchanged.
 
-    With ``keys`` (a unique key is best) rows are hash-partitioned, which
-    needs no sort; without, round-robin. ``repartition(n)`` keeps its n
-    partitions (AQE does not merge them).
+    Rows are hash-partitioned on ``xxhash64(keys)`` (no sort, unlike
+    round-robin). Partitioning on an expression rather than on the key
+    columns themselves leaves later aggregations on those keys with their
+    own shuffle, which the plans share between branches, so the heavy
+    per-row work above the scan still runs once. ``repartition(n)`` keeps
+    its n partitions (AQE does not merge them).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)
+    return df.repartition(cores, F.xxhash64(*keys)) if keys else df.repartition(cores)
