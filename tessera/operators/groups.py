@@ -43,14 +43,15 @@ def argmax_by(
     value: str,
     ties: str = "all",
     tie_break: Sequence[str] = (),
+    key_domain: DataFrame | None = None,
 ) -> DataFrame:
     """Rows holding the largest ``value`` of their group.
 
     ``ties='all'`` keeps every row equal to the group maximum (the window
     semantics). The maximum is a partial aggregate, joined back on
-    (keys, value): broadcast when the per-group table is small (checked),
-    otherwise a shuffle join whose key includes the value, so a hot group
-    is spread over many partitions.
+    (keys, value): broadcast when the per-group table is small (checked, see
+    ``_group_table``), otherwise a shuffle join whose key includes the
+    value, so a hot group is spread over many partitions.
 
     ``ties='one'`` keeps one row per group, the largest by
     (value, *tie_break); it is a single aggregation of ``max(struct(...))``.
@@ -58,7 +59,7 @@ def argmax_by(
     """
     keys = _cols(keys)
     if ties == "all":
-        best = _sized(df.groupBy(*keys).agg(F.max(value).alias("__best"))).alias("__r")
+        best = _group_table(df, keys, F.max(value).alias("__best"), key_domain).alias("__r")
         cond = _key_match(keys) + [F.col(f"__l.`{value}`") == F.col("__r.__best")]
         return df.alias("__l").join(best, cond, "inner").select(*_left_cols(df))
     if ties == "one":
@@ -70,7 +71,13 @@ def argmax_by(
     raise ValueError("ties must be 'all' or 'one'")
 
 
-def with_group_max(df: DataFrame, keys: str | Sequence[str], value: str, out: str) -> DataFrame:
+def with_group_max(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    value: str,
+    out: str,
+    key_domain: DataFrame | None = None,
+) -> DataFrame:
     """Every row plus the maximum of ``value`` over its group, i.e.
     ``max(value) over (partition by keys)`` without sending a whole group
     to one task: partial aggregate, then join back on the keys (broadcast
@@ -78,24 +85,36 @@ def with_group_max(df: DataFrame, keys: str | Sequence[str], value: str, out: st
     splits on skewed keys).
     """
     keys = _cols(keys)
-    best = _sized(df.groupBy(*keys).agg(F.max(value).alias(out))).alias("__r")
+    best = _group_table(df, keys, F.max(value).alias(out), key_domain).alias("__r")
     joined = df.alias("__l").join(best, _key_match(keys), "inner")
     return joined.select(*_left_cols(df), F.col(f"__r.`{out}`"))
 
 
-def _sized(groups_df: DataFrame) -> DataFrame:
-    """Materialise a per-group table once and broadcast it only if its row
-    count is within ``MAX_BROADCAST_GROUPS``.
+def bounded_broadcast(table: DataFrame, key_domain: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Mark a per-group table for broadcast when its row count is bounded.
 
-    The reliable checkpoint (shared folder) runs the aggregation a single
-    time, cuts its lineage and gives an exact row count; the rows side then
-    needs no shuffle at all when the table is broadcast.
+    With ``key_domain`` (a DataFrame the group keys are drawn from) the
+    bound is the approximate distinct count of the keys there, one cheap
+    pass over a single column; otherwise the table is materialised once
+    (reliable checkpoint in the shared folder) and counted exactly.
+    Unbounded tables are returned unmarked, for a shuffle join.
     """
-    checkpoint_root(groups_df.sparkSession)
-    table = groups_df.checkpoint(eager=True)
+    if key_domain is not None:
+        estimate = key_domain.select(F.approx_count_distinct(F.struct(*keys), 0.01)).first()[0]
+        # Twice the estimate of a 1% relative-error sketch: a safe bound.
+        return F.broadcast(table) if 2 * estimate <= MAX_BROADCAST_GROUPS else table
+    checkpoint_root(table.sparkSession)
+    table = table.checkpoint(eager=True)
     return F.broadcast(table) if table.count() <= MAX_BROADCAST_GROUPS else table
 
 
+def _group_table(df: DataFrame, keys: list[str], agg: Column, key_domain: DataFrame | None) -> DataFrame:
+    """The per-group aggregate, marked for broadcast only when its size is
+    bounded (``bounded_broadcast``). With a key domain the table is
+    broadcast within the same job, with no materialisation."""
+    return bounded_broadcast(df.groupBy(*keys).agg(agg), key_domain, keys)
+
+
 def _key_match(keys: list[str]) -> list[Column]:
     # Null-safe, like a window partition: NULL keys form one group.
     return [F.col(f"__l.`{k}`").eqNullSafe(F.col(f"__r.`{k}`")) for k in keys]

@@ -122,6 +122,15 @@ def test_argmax_ties(spark):
     assert one.columns == df.columns
 
 
+def test_argmax_with_key_domain_broadcasts_without_materialising(spark):
+    rows = [("1", "t1", 10.0, 3.0), ("1", "t2", 10.0, 5.0), ("2", "t4", 7.0, 1.0)]
+    df = spark.createDataFrame(rows, "vendor_id string, trip_id string, distance double, duration double")
+    domain = spark.createDataFrame([("1",), ("2",), ("3",)], "vendor_id string")
+    out = groups.argmax_by(df, "vendor_id", "distance", ties="all", key_domain=domain)
+    assert sorted(r.trip_id for r in out.collect()) == ["t1", "t2", "t4"]
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_group_max_keeps_every_row(spark):
     rows = [("1", "t1", 10.0), ("1", "t2", 4.0), (None, "t3", 2.0), (None, "t4", 6.0)]
     df = spark.createDataFrame(rows, "vendor_id string, trip_id string, distance double")
