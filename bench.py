@@ -46,6 +46,7 @@ def main() -> None:
     comp = lambda: fx.complaints(spark, sf_dir)
     fx.trips_csv_path(spark, sf_dir)
     fx.vendors_csv_path(spark, sf_dir)
+    bucketed = ingest.convert_to_bucketed(spark, sf_dir)
 
     def longest_udf():
         return taxi.longest_trip_window(trips(), vendors(), kind="compat_udf")
@@ -58,6 +59,7 @@ def main() -> None:
         "q2_argmax": lambda: taxi.longest_trip_argmax(trips(), vendors()),
         "q2_sql": lambda: taxi.longest_trip_sql(spark, trips(), vendors()),
         "q2_csv": lambda: ingest.longest_trip_csv(spark, sf_dir),
+        "q2_bucketed": lambda: taxi.longest_trip_window(spark.table(bucketed[0]), spark.table(bucketed[1])),
         "q2_udf": longest_udf,
         "join_broadcast": lambda: taxi.join_broadcast(trips(), vendors()),
         "join_sort_merge": lambda: taxi.join_sort_merge(trips(), vendors()),

@@ -7,6 +7,8 @@ written under the shared checkpoint folder (see ``fixtures.trips_csv_path``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.plans import taxi
@@ -59,3 +61,21 @@ def hourly_avg_pickup_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def longest_trip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2 (window form) over both CSV inputs."""
     return taxi.longest_trip_window(scan_csv(spark, sf_dir), fx.vendors_from_csv(spark, sf_dir))
+
+
+def convert_to_bucketed(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> tuple[str, str]:
+    """Run the conversion job into tables bucketed by trip_id (same bucket
+    count on both sides); returns (trips table, vendors table)."""
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = shared_path(spark, "bucketed")
+    return sinks.csv_to_bucketed_tables(
+        spark, fx.trips_csv_path(spark, sf_dir), fx.vendors_csv_path(spark, sf_dir),
+        out, uuid.uuid4().hex[:12], n,
+    )
+
+
+def longest_trip_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 (window form) over the bucketed tables: the trips-vendors join
+    reads both sides bucket by bucket, with no shuffle."""
+    trips_table, vendors_table = convert_to_bucketed(spark, sf_dir)
+    return taxi.longest_trip_window(spark.table(trips_table), spark.table(vendors_table))

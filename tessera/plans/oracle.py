@@ -192,6 +192,15 @@ WHERE distance = max_distance"""),
 }
 
 
+INGEST["longest_trip_bucketed"] = with_ctes(TRIPS, TRIPS_CSV, VENDORS, f"""joined AS (
+  SELECT v.vendor_id, t.trip_id, {DIST_COMPAT} AS distance, {DURATION} AS duration
+  FROM trips_csv t JOIN vendors v ON t.trip_id = v.trip_id
+  WHERE {BOX} AND NOT t.malformed)""", body="""
+SELECT vendor_id, trip_id, distance, duration FROM (
+  SELECT *, max(distance) OVER (PARTITION BY vendor_id) AS max_distance FROM joined)
+WHERE distance = max_distance""")
+
+
 def stop_words_sql() -> str:
     """The stop-word list as a parenthesised SQL IN list."""
     quoted = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)

@@ -69,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "hourly_avg_pickup_csv": ingest.hourly_avg_pickup_csv,
     "hourly_avg_pickup_text": ingest.hourly_avg_pickup_text,
     "longest_trip_csv": ingest.longest_trip_csv,
+    "longest_trip_bucketed": ingest.longest_trip_bucketed,
     # text features
     "filter_valid_records": _on_complaints(text.valid_records),
     "clean_text": _on_complaints(text.cleaned),

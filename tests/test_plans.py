@@ -7,6 +7,7 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL, plan_text
 
 
+
 def q(spark, name):
     return entry.queries()[name](spark, SF_SMALL)
 
@@ -35,6 +36,12 @@ def test_udf_path_uses_arrow(spark):
     assert "ArrowEvalPython" in plan_text(q(spark, "udf_haversine"))
 
 
+def test_bucketed_tables_join_without_shuffle(spark):
+    text = plan_text(q(spark, "longest_trip_bucketed"))
+    assert "Bucketed: true" in text and "SortMergeJoin" in text
+    assert "Exchange hashpartitioning(trip_id" not in text
+
+
 def test_lexicon_and_idf_are_broadcast(spark):
     text = plan_text(q(spark, "tfidf"))
     assert text.count("BroadcastHashJoin") >= 2
