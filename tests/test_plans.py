@@ -7,7 +7,6 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL, plan_text
 
 
-
 def q(spark, name):
     return entry.queries()[name](spark, SF_SMALL)
 
@@ -37,7 +36,17 @@ def test_udf_path_uses_arrow(spark):
 
 
 def test_bucketed_tables_join_without_shuffle(spark):
-    text = plan_text(q(spark, "longest_trip_bucketed"))
+    # Tables this small would be broadcast; switch that off to see the
+    # plan large tables get.
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = [spark.conf.get(k, None) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        text = plan_text(q(spark, "longest_trip_bucketed"))
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "Bucketed: true" in text and "SortMergeJoin" in text
     assert "Exchange hashpartitioning(trip_id" not in text
 
