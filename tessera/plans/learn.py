@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import numbering, sampling, sets
 from tessera.plans import text
+from tessera.session import checkpoint_root
 
 TRAIN_FRACTION = 0.8
 SPLIT_SEED = 10
@@ -49,7 +50,16 @@ class Dataset:
 
 
 def dataset(complaints: DataFrame, k: int = text.LEXICON_SIZE) -> Dataset:
-    vectors = text.tfidf_vectors(complaints, k)
+    """Feature vectors with label indices, and their de-duplicated rows.
+
+    The vectors (one row per document) are written once to the shared
+    checkpoint folder: the label indexer, the split, every L-BFGS pass of
+    the classifier and the scoring then read that table instead of
+    re-running the text pipeline, and a lost executor re-reads it rather
+    than recomputing the lineage.
+    """
+    checkpoint_root(complaints.sparkSession)
+    vectors = text.tfidf_vectors(complaints, k).checkpoint(eager=True)
     model = label_indexer(vectors)
     labelled = model.transform(vectors)
     rows = sets.dedup_rows(labelled.select("label_f", "label", "features", "features_key"),
