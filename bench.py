@@ -61,6 +61,8 @@ def main() -> None:
         "q2_csv": lambda: ingest.longest_trip_csv(spark, sf_dir),
         "q2_bucketed": lambda: taxi.longest_trip_window(spark.table(bucketed[0]), spark.table(bucketed[1])),
         "q2_udf": longest_udf,
+        "distance_native": lambda: taxi.trip_distance(trips(), "km"),
+        "distance_udf": lambda: taxi.trip_distance_udf(trips(), "km"),
         "join_broadcast": lambda: taxi.join_broadcast(trips(), vendors()),
         "join_sort_merge": lambda: taxi.join_sort_merge(trips(), vendors()),
         "join_inner": lambda: taxi.join_inner(trips(), vendors()),
@@ -109,6 +111,8 @@ def main() -> None:
             "q1_csv_over_parquet": ratio("q1_csv", "q1_parquet"),
             "q1_text_over_parquet": ratio("q1_text", "q1_parquet"),
             "q2_udf_over_native": ratio("q2_udf", "q2_parquet"),
+            "distance_udf_over_native": ratio("distance_udf", "distance_native"),
+            "q2_bucketed_over_parquet": ratio("q2_bucketed", "q2_parquet"),
             "join_merge_over_broadcast": ratio("join_sort_merge", "join_broadcast"),
             "mlp_uncached_over_cached": ratio("mlp_fit_uncached", "mlp_fit_cached"),
         },
