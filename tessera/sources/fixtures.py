@@ -107,7 +107,7 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
     year = F.when(F.col("doc_id") % SKIPPED_YEAR_MOD == 0, F.lit("2009")).otherwise(F.lit("2015"))
     comment = F.when(F.col("doc_id") % KEEP_COMMAS_MOD == 0, F.col("text")).otherwise(
-        F.regexp_replace("text", ",", " ")
+        F.replace(F.col("text"), F.lit(","), F.lit(" "))
     )
     line = F.concat(year, F.lit("-03-10,"), F.col("lang"), F.lit(","), comment)
     return docs.select("doc_id", line.alias("line"))
