@@ -67,3 +67,30 @@ def test_same_answer_for_any_shuffle_width(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2]
+
+
+def test_box_predicates_reach_the_parquet_scan(spark):
+    from tessera.plans import ingest, taxi
+    from tessera.sources import readers
+
+    trips_path, _ = ingest.convert_to_parquet(spark, SF_SMALL)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # print whole filter lists
+    try:
+        text = plan_text(taxi.hourly_avg_pickup(readers.read_parquet(spark, trips_path)))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(trip_start_lat,40.0)" in text
+    assert "LessThanOrEqual(trip_end_long,-71.0)" in text
+    assert "ReadSchema: struct<trip_start_time:timestamp_ntz,trip_end_time:timestamp_ntz," in text
+    assert "trip_cost" not in text.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_bounded_join_falls_back_to_merge_beyond_budget(spark):
+    from tessera.operators import joins
+    from tessera.sources import fixtures as fx
+
+    t, v = fx.trips(spark, SF_SMALL), fx.vendors(spark, SF_SMALL)
+    small = plan_text(joins.join_bounded(t, v, "trip_id", 50, ["trip_id"]))
+    big = plan_text(joins.join_bounded(t, v, "trip_id", 50, ["trip_id"], row_bytes=10**7))
+    assert "BroadcastHashJoin" in small
+    assert "SortMergeJoin" in big and "BroadcastHashJoin" not in big
