@@ -8,6 +8,8 @@ Inputs are the ``trips`` and ``vendors`` DataFrames (see
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,15 +140,15 @@ def window_max(trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> Da
 
 VENDOR_MAX_SQL = """
 SELECT vendor_id, max(distance) AS max_distance
-FROM tessera_trip_joined
+FROM {joined}
 GROUP BY vendor_id
 """
 
 LONGEST_TRIP_SQL = """
 SELECT tj.vendor_id AS vendor_id, tj.trip_id AS trip_id,
        tj.distance AS distance, tj.duration AS duration
-FROM tessera_trip_joined AS tj
-JOIN tessera_vendor_max AS vm
+FROM {joined} AS tj
+JOIN {vendor_max} AS vm
   ON tj.vendor_id = vm.vendor_id AND tj.distance = vm.max_distance
 """
 
@@ -157,12 +159,14 @@ def longest_trip_sql(spark: SparkSession, trips: DataFrame, vendors: DataFrame,
     The per-vendor maxima are a SQL aggregate; between the two statements
     the table is checked against its bound (distinct vendors) and marked for
     broadcast, so the trips are joined with vendors only once in the final
-    plan and never shuffled by vendor.
+    plan and never shuffled by vendor. View names are unique per call.
     """
-    _trips_with_vendor(trips.where(in_box()), vendors, kind).createOrReplaceTempView("tessera_trip_joined")
-    vendor_max = groups.bounded_broadcast(spark.sql(VENDOR_MAX_SQL), vendors.select("vendor_id"), ["vendor_id"])
-    vendor_max.createOrReplaceTempView("tessera_vendor_max")
-    return spark.sql(LONGEST_TRIP_SQL)
+    tag = uuid.uuid4().hex[:12]
+    joined, vendor_max = f"tessera_trip_joined_{tag}", f"tessera_vendor_max_{tag}"
+    _trips_with_vendor(trips.where(in_box()), vendors, kind).createOrReplaceTempView(joined)
+    best = spark.sql(VENDOR_MAX_SQL.format(joined=joined))
+    groups.bounded_broadcast(best, vendors.select("vendor_id"), ["vendor_id"]).createOrReplaceTempView(vendor_max)
+    return spark.sql(LONGEST_TRIP_SQL.format(joined=joined, vendor_max=vendor_max))
 
 
 # --- joins -----------------------------------------------------------------

@@ -23,6 +23,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Delete checkpoint files once nothing references them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
