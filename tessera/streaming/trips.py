@@ -32,7 +32,7 @@ def _events_stream(spark: SparkSession, sf_dir: str, files_per_batch: int) -> Da
     )
 
 
-def trips_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1) -> DataFrame:
+def trips_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000) -> DataFrame:
     cols = fx.trip_columns()
     return _events_stream(spark, sf_dir, files_per_batch).select(
         *[c.alias(n) for n, c in cols.items()]
