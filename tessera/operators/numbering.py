@@ -26,7 +26,11 @@ def number_rows(
     out: str = "row_idx",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``out`` = 0, 1, 2, ... following ``order`` (which should be unique).
+    """Add ``out`` = 0, 1, 2, ... following ``order``.
+
+    Rows equal on ``order`` are ordered by a hash of the whole row, so the
+    numbering is deterministic and a value shared by a large share of the
+    rows still spreads over many range partitions.
 
     The locally numbered rows are checkpointed to the shared checkpoint
     folder first: the range bounds come from sampling, so both uses of the
@@ -37,9 +41,10 @@ def number_rows(
     checkpoint_root(spark)  # make sure a reliable checkpoint folder is set
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mono = F.monotonically_increasing_id()
+    keys = [*order, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     local = (
-        df.repartitionByRange(n_parts, *order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(n_parts, *keys)
+        .sortWithinPartitions(*keys)
         .withColumn("__mono", mono)
         .withColumn("__part", F.shiftright("__mono", _LOW_BITS))
         .withColumn("__pos", F.col("__mono") - F.shiftleft("__part", _LOW_BITS))

@@ -50,6 +50,17 @@ def test_number_rows_dense_in_order(keyed, parts):
     assert [p[1] for p in pairs] == list(range(3000))
 
 
+def test_number_rows_spreads_a_hot_key(spark):
+    # 60% of the rows share one order value; they must not all land in one
+    # range partition, and the numbering stays dense.
+    rows = [(0 if i % 5 < 3 else i, i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "k long, v long")
+    out = numbering.number_rows(df, ["k"], partitions=8)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.5 * 5000
+    assert sorted(r.row_idx for r in out.collect()) == list(range(5000))
+
+
 def test_except_distinct_and_all(spark):
     left = spark.createDataFrame([(1,), (1,), (2,), (3,)], "x int")
     right = spark.createDataFrame([(1,), (3,)], "x int")

@@ -131,6 +131,18 @@ def test_argmax_with_key_domain_broadcasts_without_materialising(spark):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hot_group_is_not_shuffled_to_one_task(spark):
+    # One vendor holds 90% of the rows: the row side is only probed against
+    # the broadcast per-vendor maxima, never repartitioned by vendor.
+    rows = [("hot" if i % 10 else f"v{i}", f"t{i}", float(i % 997), 1.0) for i in range(20000)]
+    df = spark.createDataFrame(rows, "vendor_id string, trip_id string, distance double, duration double")
+    domain = df.select("vendor_id")
+    out = groups.argmax_by(df, "vendor_id", "distance", ties="all", key_domain=domain)
+    assert out.where("vendor_id = 'hot'").count() == 18 * 1  # distance 996 occurs 20 times, 18 of them hot
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_group_max_keeps_every_row(spark):
     rows = [("1", "t1", 10.0), ("1", "t2", 4.0), (None, "t3", 2.0), (None, "t4", 6.0)]
     df = spark.createDataFrame(rows, "vendor_id string, trip_id string, distance double")
