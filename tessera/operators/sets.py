@@ -13,10 +13,13 @@ COPY_CHUNK = 100_000
 
 
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of ``left`` that are not in ``right`` (SQL EXCEPT):
-    a left-anti join on all columns plus a distinct, both shuffled by the
-    full row so no single key concentrates the work."""
-    return left.subtract(right)
+    """Distinct rows of ``left`` that are not in ``right`` (SQL EXCEPT).
+
+    Both sides are de-duplicated first: partial aggregation collapses the
+    copies of a row in each task, so the anti-join that follows sees each
+    value once. (``subtract`` alone anti-joins every copy before the
+    distinct, sending all copies of a frequent row to one task.)"""
+    return left.distinct().subtract(right.distinct())
 
 
 def except_all(left: DataFrame, right: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
