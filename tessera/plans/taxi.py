@@ -142,16 +142,14 @@ def window_max(trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> Da
 
 VENDOR_MAX_SQL = """
 SELECT vendor_id, max(distance) AS max_distance
-FROM {joined}
+FROM {rows}
 GROUP BY vendor_id
 """
 
 LONGEST_TRIP_SQL = """
-SELECT tj.vendor_id AS vendor_id, tj.trip_id AS trip_id,
-       tj.distance AS distance, tj.duration AS duration
-FROM {joined} AS tj
-JOIN {vendor_max} AS vm
-  ON tj.vendor_id = vm.vendor_id AND tj.distance = vm.max_distance
+SELECT r.vendor_id, r.trip_id, r.distance, r.duration
+FROM {rows} r
+JOIN {best} b ON r.vendor_id = b.vendor_id AND r.distance = b.max_distance
 """
 
 
@@ -164,11 +162,11 @@ def longest_trip_sql(spark: SparkSession, trips: DataFrame, vendors: DataFrame,
     plan and never shuffled by vendor. View names are unique per call.
     """
     tag = uuid.uuid4().hex[:12]
-    joined, vendor_max = f"tessera_trip_joined_{tag}", f"tessera_vendor_max_{tag}"
-    _trips_with_vendor(trips.where(in_box()), vendors, kind).createOrReplaceTempView(joined)
-    best = spark.sql(VENDOR_MAX_SQL.format(joined=joined))
-    groups.bounded_broadcast(best, vendors.select("vendor_id"), ["vendor_id"]).createOrReplaceTempView(vendor_max)
-    return spark.sql(LONGEST_TRIP_SQL.format(joined=joined, vendor_max=vendor_max))
+    rows, best = f"tessera_vendor_trips_{tag}", f"tessera_vendor_best_{tag}"
+    _trips_with_vendor(trips.where(in_box()), vendors, kind).createOrReplaceTempView(rows)
+    per_vendor = spark.sql(VENDOR_MAX_SQL.format(rows=rows))
+    groups.bounded_broadcast(per_vendor, vendors.select("vendor_id"), ["vendor_id"]).createOrReplaceTempView(best)
+    return spark.sql(LONGEST_TRIP_SQL.format(rows=rows, best=best))
 
 
 # --- joins -----------------------------------------------------------------
