@@ -57,6 +57,7 @@ def main() -> None:
         "q1_text": lambda: ingest.hourly_avg_pickup_text(spark, sf_dir),
         "q2_parquet": lambda: taxi.longest_trip_window(trips(), vendors()),
         "q2_argmax": lambda: taxi.longest_trip_argmax(trips(), vendors()),
+        "q2_argmax_text": lambda: ingest.longest_trip_argmax_text(spark, sf_dir),
         "q2_sql": lambda: taxi.longest_trip_sql(spark, trips(), vendors()),
         "q2_csv": lambda: ingest.longest_trip_csv(spark, sf_dir),
         "q2_bucketed": lambda: taxi.longest_trip_window(spark.table(bucketed[0]), spark.table(bucketed[1])),
@@ -110,6 +111,7 @@ def main() -> None:
         "ratios": {
             "q1_csv_over_parquet": ratio("q1_csv", "q1_parquet"),
             "q1_text_over_parquet": ratio("q1_text", "q1_parquet"),
+            "q2_text_over_parquet": ratio("q2_argmax_text", "q2_argmax"),
             "q2_udf_over_native": ratio("q2_udf", "q2_parquet"),
             "distance_udf_over_native": ratio("distance_udf", "distance_native"),
             "q2_bucketed_over_parquet": ratio("q2_bucketed", "q2_parquet"),

@@ -63,6 +63,17 @@ def longest_trip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxi.longest_trip_window(scan_csv(spark, sf_dir), fx.vendors_from_csv(spark, sf_dir))
 
 
+def vendors_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = readers.read_text(spark, fx.vendors_csv_path(spark, sf_dir))
+    return readers.parse_delimited(lines, schemas.VENDORS)
+
+
+def longest_trip_argmax_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 in its line-parsing form: both inputs read as text lines and split
+    positionally, clean trips only, one longest trip per vendor."""
+    return taxi.longest_trip_argmax(parse_delimited(spark, sf_dir), vendors_from_text(spark, sf_dir))
+
+
 def convert_to_bucketed(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> tuple[str, str]:
     """Run the conversion job into tables bucketed by trip_id (same bucket
     count on both sides); returns (trips table, vendors table)."""

@@ -201,6 +201,16 @@ SELECT vendor_id, trip_id, distance, duration FROM (
 WHERE distance = max_distance""")
 
 
+INGEST["longest_trip_argmax_text"] = with_ctes(TRIPS, TRIPS_CSV, VENDORS, f"""joined AS (
+  SELECT v.vendor_id, t.trip_id, {DIST_COMPAT} AS distance, {DURATION} AS duration
+  FROM trips_csv t JOIN vendors v ON t.trip_id = v.trip_id
+  WHERE {CLEAN})""", body="""
+SELECT vendor_id, trip_id, distance, duration FROM (
+  SELECT *, row_number() OVER (PARTITION BY vendor_id
+            ORDER BY distance DESC, duration DESC, trip_id DESC) AS rn
+  FROM joined) WHERE rn = 1 ORDER BY vendor_id""")
+
+
 def stop_words_sql() -> str:
     """The stop-word list as a parenthesised SQL IN list."""
     quoted = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)

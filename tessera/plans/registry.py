@@ -70,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "hourly_avg_pickup_text": ingest.hourly_avg_pickup_text,
     "longest_trip_csv": ingest.longest_trip_csv,
     "longest_trip_bucketed": ingest.longest_trip_bucketed,
+    "longest_trip_argmax_text": ingest.longest_trip_argmax_text,
     # text features
     "filter_valid_records": _on_complaints(text.valid_records),
     "clean_text": _on_complaints(text.cleaned),
