@@ -20,39 +20,69 @@ from tessera.session import shared_path
 from tessera.sources import fixtures as fx
 
 
-def _events_stream(spark: SparkSession, sf_dir: str, files_per_batch: int) -> DataFrame:
-    folder = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema  # footer metadata only
-    # A file stream watches a folder; the glob filter picks the table's files.
+EVENTS_FILES = "events*.parquet"
+
+
+def events_stream(
+    spark: SparkSession, folder: str, pattern: str = EVENTS_FILES, files_per_batch: int = 1000
+) -> DataFrame:
+    """New Parquet files matching ``pattern`` in ``folder``, as a stream.
+
+    A file stream watches a folder; the glob filter picks the table's files.
+    The schema comes from the existing files' footers (metadata only).
+    """
+    folder = folder.rstrip("/")
+    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events*.parquet")
+        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(folder)
     )
 
 
-def trips_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1000) -> DataFrame:
+def trips_stream(
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, pattern: str = EVENTS_FILES
+) -> DataFrame:
     cols = fx.trip_columns()
-    return _events_stream(spark, sf_dir, files_per_batch).select(
+    return events_stream(spark, folder, pattern, files_per_batch).select(
         *[c.alias(n) for n, c in cols.items()]
     )
 
 
-def run_complete(agg: DataFrame, label: str) -> str:
-    """Run a complete-mode aggregation to the end of the available input;
-    return the Parquet folder holding the final result."""
-    spark = agg.sparkSession
-    out = shared_path(spark, f"{label}-out")
-    checkpoint = shared_path(spark, f"{label}-checkpoint")
+def hourly_avg_pickup_agg(trips: DataFrame) -> DataFrame:
+    """Q1 as a streaming aggregation: 24 groups of state."""
+    return (
+        trips.where(clean_trip())
+        .groupBy(hour_of("trip_start_time").alias("start_hour"))
+        .agg(
+            F.avg("trip_start_long").alias("avg_start_long"),
+            F.avg("trip_start_lat").alias("avg_start_lat"),
+        )
+    )
+
+
+def overwrite_to(out: str):
+    """A ``foreachBatch`` function replacing ``out`` with each complete
+    result; replaying a batch after a restart rewrites the same data."""
 
     def write(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out)
 
+    return write
+
+
+def run_complete(agg: DataFrame, label: str, out: str | None = None, checkpoint: str | None = None) -> str:
+    """Run a complete-mode aggregation to the end of the available input
+    (resuming from ``checkpoint`` if it holds an earlier run); return the
+    Parquet folder holding the final result."""
+    spark = agg.sparkSession
+    out = out or shared_path(spark, f"{label}-out")
+    checkpoint = checkpoint or shared_path(spark, f"{label}-checkpoint")
     query = (
         agg.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
+        .foreachBatch(overwrite_to(out))
         .trigger(availableNow=True)
         .start()
     )
@@ -62,15 +92,7 @@ def run_complete(agg: DataFrame, label: str) -> str:
 
 def hourly_avg_pickup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 over the event stream; same output as the batch query."""
-    agg = (
-        trips_stream(spark, sf_dir)
-        .where(clean_trip())
-        .groupBy(hour_of("trip_start_time").alias("start_hour"))
-        .agg(
-            F.avg("trip_start_long").alias("avg_start_long"),
-            F.avg("trip_start_lat").alias("avg_start_lat"),
-        )
-    )
+    agg = hourly_avg_pickup_agg(trips_stream(spark, sf_dir))
     return spark.read.parquet(run_complete(agg, "stream-q1")).orderBy("start_hour")
 
 

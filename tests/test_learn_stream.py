@@ -27,3 +27,39 @@ def test_mlp_runs_and_scores(spark):
 def test_stream_equals_batch(spark, stream, batch):
     qs = entry.queries()
     assert qs[stream](spark, SF_SMALL).collect() == qs[batch](spark, SF_SMALL).collect()
+
+
+def _split_events(spark, parts):
+    from tessera.session import shared_path
+
+    folder = shared_path(spark, "events-split")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(parts, "event_id").write.parquet(folder)
+    return folder
+
+
+def test_stream_state_across_micro_batches_and_restart(spark):
+    import time
+
+    from tessera.plans import taxi
+    from tessera.session import shared_path
+    from tessera.streaming import trips as streams
+
+    folder = _split_events(spark, 4)
+    batch = taxi.hourly_avg_pickup(fx.trips(spark, SF_SMALL)).collect()
+    agg = lambda: streams.hourly_avg_pickup_agg(
+        streams.trips_stream(spark, folder, files_per_batch=1, pattern="part-*.parquet"))
+
+    # Four micro-batches, one file each, in one run.
+    out = streams.run_complete(agg(), "t-stream")
+    assert spark.read.parquet(out).orderBy("start_hour").collect() == batch
+
+    # Stop after two batches, then resume from the checkpoint.
+    out, ckpt = shared_path(spark, "t-out"), shared_path(spark, "t-ckpt")
+    q = (agg().writeStream.outputMode("complete").option("checkpointLocation", ckpt)
+         .foreachBatch(streams.overwrite_to(out)).trigger(processingTime="0 seconds").start())
+    deadline = time.time() + 120
+    while (q.lastProgress is None or q.lastProgress["batchId"] < 1) and time.time() < deadline:
+        time.sleep(0.1)
+    q.stop()
+    streams.run_complete(agg(), "t-stream", out=out, checkpoint=ckpt)
+    assert spark.read.parquet(out).orderBy("start_hour").collect() == batch
