@@ -14,6 +14,12 @@ Every step is a DataFrame transformation over the complete texts:
 N counts every valid record, also those without any lexicon word; those
 documents then have no feature row. Group sizes are bounded: per-document
 groups hold at most ``lexicon_size`` rows after the partial aggregation.
+
+The texts are read twice. Pass 1 counts words (plus one marker per record
+for N) keyed by the word alone; pass 2 keeps only lexicon words before the
+per-document aggregation. Neither shuffles a row per (document, word) pair
+of the whole vocabulary, which would be several times the size of the
+texts themselves.
 """
 
 from __future__ import annotations
@@ -56,29 +62,23 @@ def content_tokens(complaints: DataFrame) -> DataFrame:
     return tokens(complaints).where(~is_stop_word("word")).select("doc_id", "pos", "word")
 
 
-def doc_words(complaints: DataFrame) -> DataFrame:
-    """(doc_id, label, word, tf): occurrences of each non-stop word in each
-    valid record, plus one row per record with the word ``RECORD_MARKER``
-    (tf 1) that lets N come out of the same aggregation.
-
-    This is the only pass over the texts that the TF-IDF plan needs: the
-    vocabulary statistics and the per-document weights are both computed
-    from it, and Spark reuses its shuffle for both.
-    """
+def marked_tokens(complaints: DataFrame) -> DataFrame:
+    """(doc_id, label, word): every non-stop word of every valid record, plus
+    one row per record with the word ``RECORD_MARKER``, which lets N come
+    out of the word counts."""
     exploded = F.explode(F.concat(F.array(F.lit(RECORD_MARKER)), words("clean")))
     tok = cleaned(complaints).select("doc_id", "label", exploded.alias("word"))
-    return tok.where(~is_stop_word("word")).groupBy("doc_id", "label", "word").agg(F.count(F.lit(1)).alias("tf"))
+    return tok.where(~is_stop_word("word"))
 
 
 def vocabulary(complaints: DataFrame) -> DataFrame:
-    """(word, n, df): occurrences and documents per word; the marker row
-    carries N (the number of valid records) in both columns.
+    """(word, n): occurrences per word; the marker row carries N.
 
-    Partial aggregation: a word in every document still ships one row per
-    map task."""
-    return doc_words(complaints).groupBy("word").agg(
-        F.sum("tf").alias("n"), F.count("tf").alias("df")
-    )
+    Pass 1 over the texts. Keyed by the word alone, the partial aggregate
+    leaves one row per distinct word per task, so this shuffle stays small
+    however large the texts are.
+    """
+    return marked_tokens(complaints).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_count(complaints: DataFrame) -> DataFrame:
@@ -91,35 +91,28 @@ def top_k_words(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     return groups.top_k(word_count(complaints), k, [F.desc("n"), F.asc("word")])
 
 
-def lexicon_stats(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(idx, word, n, df, idf) for the top-k words, idf = ln(N / df).
+def _ranked(complaints: DataFrame, k: int) -> DataFrame:
+    """(idx, word, n, n_records) for the top-k words.
 
-    The marker row (N) is taken along with the k best words, so every
-    window here runs over k + 1 rows.
+    The marker row (N) is taken along with the k best words, so both
+    windows here run over k + 1 rows; it ranks first (idx -1) and is
+    dropped by rank.
     """
     is_marker = F.col("word") == RECORD_MARKER
     marker_first = [is_marker.desc(), F.desc("n"), F.asc("word")]
     top = groups.top_k(vocabulary(complaints), k + 1, marker_first)
-    everything = Window.partitionBy()
     ranked = top.select(
         (F.row_number().over(Window.orderBy(*marker_first)) - 2).alias("idx"),
         "word",
         "n",
-        "df",
-        F.max(F.when(is_marker, F.col("n"))).over(everything).alias("n_records"),
-    )
-    # The marker ranks first (idx -1). Dropping it by rank rather than by
-    # word keeps Catalyst from inferring a word filter on the other side of
-    # the lexicon join, which would stop the two branches sharing the
-    # doc_words shuffle.
-    return ranked.where(F.col("idx") >= 0).select(
-        "idx", "word", "n", "df", F.log(F.col("n_records") / F.col("df")).alias("idf")
+        F.max(F.when(is_marker, F.col("n"))).over(Window.partitionBy()).alias("n_records"),
     )
+    return ranked.where(F.col("idx") >= 0)
 
 
 def lexicon(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(idx, word, n): the top-k words numbered 0..k-1 in rank order."""
-    return lexicon_stats(complaints, k).select("idx", "word", "n")
+    return _ranked(complaints, k).select("idx", "word", "n")
 
 
 def lexicon_tokens(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
@@ -132,20 +125,26 @@ def lexicon_tokens(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     )
 
 
-def _lexicon_tf(complaints: DataFrame, k: int) -> DataFrame:
-    # The lexicon never holds the marker, so the join drops marker rows.
-    lex = lexicon_stats(complaints, k).select("word", "idx", "idf")
-    return doc_words(complaints).join(F.broadcast(lex), "word")
-
-
 def term_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(doc_id, label, word, idx, tf) for the lexicon words."""
-    return _lexicon_tf(complaints, k).select("doc_id", "label", "word", "idx", "tf")
+    """(doc_id, label, word, idx, tf) for the lexicon words.
+
+    Pass 2 over the texts: tokens are matched against the broadcast lexicon
+    first, so only lexicon words reach the per-document aggregation and
+    its shuffle. Partial aggregation per task, so a huge document never
+    lands whole in one task.
+    """
+    lex = lexicon(complaints, k).select("word", "idx")
+    return marked_tokens(complaints).join(F.broadcast(lex), "word").groupBy(
+        "doc_id", "label", "word", "idx"
+    ).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(word, df): number of documents containing the lexicon word."""
-    return lexicon_stats(complaints, k).select("word", "df")
+    """(word, df): number of documents containing the lexicon word.
+
+    ``count(tf)`` keeps the tf aggregate identical to the one the weights
+    use, so a plan needing both shares its shuffle."""
+    return term_frequency(complaints, k).groupBy("word").agg(F.count("tf").alias("df"))
 
 
 def n_records(complaints: DataFrame):
@@ -154,15 +153,18 @@ def n_records(complaints: DataFrame):
 
 
 def idf(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(word, idf) with idf = ln(N / df)."""
-    return lexicon_stats(complaints, k).select("word", "idf")
+    """(word, idf) with idf = ln(N / df); at most k rows."""
+    totals = _ranked(complaints, k).select("word", "n_records")
+    return document_frequency(complaints, k).join(F.broadcast(totals), "word").select(
+        "word", F.log(F.col("n_records") / F.col("df")).alias("idf")
+    )
 
 
 def _normalised(complaints: DataFrame, k: int) -> DataFrame:
     # The window partition is one document's lexicon words: <= k rows.
     doc = Window.partitionBy("doc_id")
     norm = F.lit(0.5) + F.lit(0.5) * F.col("tf") / F.max("tf").over(doc)
-    return _lexicon_tf(complaints, k).withColumn("tf_norm", norm)
+    return term_frequency(complaints, k).withColumn("tf_norm", norm)
 
 
 def tf_double_norm(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
@@ -171,8 +173,9 @@ def tf_double_norm(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
 
 
 def tfidf(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(doc_id, label, idx, word, weight = tf_norm * idf)."""
-    return _normalised(complaints, k).select(
+    """(doc_id, label, idx, word, weight = tf_norm * idf); idf has <= k rows."""
+    weights = _normalised(complaints, k).join(F.broadcast(idf(complaints, k)), "word")
+    return weights.select(
         "doc_id", "label", "idx", "word", (F.col("tf_norm") * F.col("idf")).alias("weight")
     )
 
