@@ -56,7 +56,10 @@ def test_lexicon_and_idf_are_broadcast(spark):
     assert text.count("BroadcastHashJoin") >= 2
 
 
-@pytest.mark.parametrize("name", ["longest_trip_window", "longest_trip_argmax", "tfidf", "class_counts"])
+@pytest.mark.parametrize("name", [
+    "hourly_avg_pickup", "longest_trip_window", "longest_trip_argmax", "window_max", "tfidf_sparse",
+    "class_counts", "number_rows", "except_all", "stratified_split_hash", "sort_asc",
+])
 def test_same_answer_for_any_shuffle_width(spark, name):
     results = []
     old = spark.conf.get("spark.sql.shuffle.partitions")
