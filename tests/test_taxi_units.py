@@ -6,7 +6,6 @@ import math
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tessera.functions.geo import EARTH_RADIUS_KM, haversine_compat, haversine_km, minutes_between
 from tessera.functions.predicates import clean_trip, in_box
