@@ -1,6 +1,7 @@
 """Time headline queries on K-fold copies of a test-data folder.
 
     python tools/scale_probe.py [sf_dir] [K ...]
+    SCALE_TRIPS_ONLY=1 python tools/scale_probe.py ...   # skip the text tables
 
 The copies are derived in Spark from the given tables: every ``events`` and
 ``documents`` row is repeated K times (``explode(sequence)``) with its id
@@ -27,9 +28,9 @@ from tessera.sources.tables import TABLES  # noqa: E402
 ID_STRIDE = 10**9
 
 
-def replicate(spark, sf_dir: str, k: int, files: int) -> str:
+def replicate(spark, sf_dir: str, k: int, files: int, tables=TABLES) -> str:
     out = shared_path(spark, f"scale-x{k}")
-    for name in TABLES:
+    for name in tables:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         key = {"events": "event_id", "documents": "doc_id"}.get(name)
         if key:
@@ -46,8 +47,10 @@ def main(argv):
     ks = [int(a) for a in argv[1:]] or [1, 10]
     spark = get_spark("local[8]", 8, app_name="tessera-scale")
     report = {}
+    trips_only = bool(os.environ.get("SCALE_TRIPS_ONLY"))
     for k in ks:
-        folder = replicate(spark, sf_dir, k, files=max(8, 4 * k))
+        tables = ["events"] if trips_only else TABLES
+        folder = replicate(spark, sf_dir, k, files=max(8, min(4 * k, 200)), tables=tables)
         cases = {
             "q1_parquet": lambda: taxi.hourly_avg_pickup(fx.trips(spark, folder)),
             "q2_window": lambda: taxi.longest_trip_window(fx.trips(spark, folder), fx.vendors(spark, folder)),
@@ -56,8 +59,13 @@ def main(argv):
             "tfidf_vectors": lambda: text.tfidf_vectors(fx.complaints(spark, folder)),
             "csv_to_parquet": None,
         }
+        if trips_only:
+            del cases["tfidf_vectors"]
         fx.trips_csv_path(spark, folder)
         fx.vendors_csv_path(spark, folder)
+        bucketed = ingest.convert_to_bucketed(spark, folder)
+        cases["q2_bucketed"] = lambda: taxi.longest_trip_window(
+            spark.table(bucketed[0]), spark.table(bucketed[1]))
         timings = {}
         for name, build in cases.items():
             best = float("inf")
