@@ -77,7 +77,11 @@ def argmax_by(
     """
     keys = _cols(keys)
     if ties == "all":
-        best = _group_table(df, keys, F.max(value).alias("__best"), key_domain).alias("__r")
+        # max ignores NULLs; filtering them here as well mirrors the
+        # isnotnull(value) Catalyst infers on the row side from the join
+        # condition, so both branches plan the same input and share shuffles.
+        valued = df.where(F.col(value).isNotNull())
+        best = _group_table(valued, keys, F.max(value).alias("__best"), key_domain).alias("__r")
         cond = _key_match(keys) + [F.col(f"__l.`{value}`") == F.col("__r.__best")]
         return df.alias("__l").join(best, cond, "inner").select(*_left_cols(df))
     if ties == "one":

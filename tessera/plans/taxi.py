@@ -127,10 +127,22 @@ def longest_trip_argmax(trips: DataFrame, vendors: DataFrame, kind: str = "compa
 def longest_trip_window(trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> DataFrame:
     """Every in-box trip whose distance equals its vendor's maximum (ties
     kept). Equivalent to ``max(distance) over (partition by vendor_id)``
-    followed by a filter, without sending a vendor's rows to one task."""
-    joined = _trips_with_vendor(trips.where(in_box()), vendors, kind)
+    followed by a filter, without sending a vendor's rows to one task.
+
+    Late materialisation: the arg-max runs on (trip_id, distance, vendor_id)
+    only, so its aggregate branch and its row branch need the same columns
+    and share the trips and vendors shuffles. The duration is then computed
+    for the winning trips alone: they are materialised, counted, and (within
+    the bound) broadcast into one more column-pruned scan of the trips.
+    """
+    in_box_trips = trips.where(in_box())
+    distances = in_box_trips.select("trip_id", distance(kind).alias("distance"))
+    joined = distances.join(vendors, "trip_id", "inner")
     domain = vendors.select("vendor_id")
-    return groups.argmax_by(joined, "vendor_id", "distance", ties="all", key_domain=domain)
+    winners = groups.argmax_by(joined, "vendor_id", "distance", ties="all", key_domain=domain)
+    winners = groups.bounded_broadcast(winners, None, ["trip_id"])
+    durations = in_box_trips.select("trip_id", duration().alias("duration"))
+    return durations.join(winners, "trip_id", "inner").select("vendor_id", "trip_id", "distance", "duration")
 
 
 def window_max(trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> DataFrame:
