@@ -43,7 +43,10 @@ def test_bucketed_tables_join_without_shuffle(spark):
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        text = plan_text(q(spark, "longest_trip_bucketed"))
+        from tessera.plans import ingest, taxi
+
+        trips_table, vendors_table = ingest.convert_to_bucketed(spark, SF_SMALL)
+        text = plan_text(taxi.join_inner(spark.table(trips_table), spark.table(vendors_table)))
     finally:
         for k, v in zip(keys, old):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
