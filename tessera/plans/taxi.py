@@ -155,30 +155,45 @@ def window_max(trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> Da
 VENDOR_MAX_SQL = """
 SELECT vendor_id, max(distance) AS max_distance
 FROM {rows}
+WHERE distance IS NOT NULL
 GROUP BY vendor_id
 """
 
-LONGEST_TRIP_SQL = """
-SELECT r.vendor_id, r.trip_id, r.distance, r.duration
+WINNERS_SQL = """
+SELECT r.vendor_id, r.trip_id, r.distance
 FROM {rows} r
 JOIN {best} b ON r.vendor_id = b.vendor_id AND r.distance = b.max_distance
 """
 
+LONGEST_TRIP_SQL = """
+SELECT w.vendor_id, w.trip_id, w.distance, d.duration
+FROM {winners} w
+JOIN {durations} d ON w.trip_id = d.trip_id
+"""
 
-def longest_trip_sql(spark: SparkSession, trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> DataFrame:
-    """Q2 written in SQL over registered temp views.
 
-    The per-vendor maxima are a SQL aggregate; between the two statements
-    the table is checked against its bound (distinct vendors) and marked for
-    broadcast, so the trips are joined with vendors only once in the final
-    plan and never shuffled by vendor. View names are unique per call.
+def longest_trip_sql(spark: SparkSession, trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> DataFrame:
+    """Q2 written in SQL over registered temp views, with the same plan as
+    ``longest_trip_window``.
+
+    Between the statements the per-vendor maxima are checked against their
+    bound (distinct vendors) and the winners against an exact count, and
+    each is marked for broadcast: the trips are joined with vendors once
+    per branch on shared shuffles, never shuffled by vendor, and durations
+    are computed for the winners only. View names are unique per call.
     """
     tag = uuid.uuid4().hex[:12]
     rows, best = f"tessera_vendor_trips_{tag}", f"tessera_vendor_best_{tag}"
-    _trips_with_vendor(trips.where(in_box()), vendors, kind).createOrReplaceTempView(rows)
+    winners, durations = f"tessera_winners_{tag}", f"tessera_durations_{tag}"
+    in_box_trips = trips.where(in_box())
+    distances = in_box_trips.select("trip_id", distance(kind).alias("distance"))
+    distances.join(vendors, "trip_id", "inner").createOrReplaceTempView(rows)
+    in_box_trips.select("trip_id", duration().alias("duration")).createOrReplaceTempView(durations)
     per_vendor = spark.sql(VENDOR_MAX_SQL.format(rows=rows))
     groups.bounded_broadcast(per_vendor, vendors.select("vendor_id"), ["vendor_id"]).createOrReplaceTempView(best)
-    return spark.sql(LONGEST_TRIP_SQL.format(rows=rows, best=best))
+    found = spark.sql(WINNERS_SQL.format(rows=rows, best=best))
+    groups.bounded_broadcast(found, None, ["trip_id"]).createOrReplaceTempView(winners)
+    return spark.sql(LONGEST_TRIP_SQL.format(winners=winners, durations=durations))
 
 
 # --- joins -----------------------------------------------------------------
