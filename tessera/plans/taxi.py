@@ -134,15 +134,20 @@ def longest_trip_window(trips: DataFrame, vendors: DataFrame, kind: str = "compa
     and share the trips and vendors shuffles. The duration is then computed
     for the winning trips alone: they are materialised, counted, and (within
     the bound) broadcast into one more column-pruned scan of the trips.
+    Winners are matched back on (trip_id, distance), so trips sharing an id
+    keep their own durations; the vendor table is a mapping and must not
+    repeat a (trip_id, vendor_id) row.
     """
     in_box_trips = trips.where(in_box())
     distances = in_box_trips.select("trip_id", distance(kind).alias("distance"))
     joined = distances.join(vendors, "trip_id", "inner")
     domain = vendors.select("vendor_id")
-    winners = groups.argmax_by(joined, "vendor_id", "distance", ties="all", key_domain=domain)
+    winners = groups.argmax_by(joined, "vendor_id", "distance", ties="all", key_domain=domain).distinct()
     winners = groups.bounded_broadcast(winners, None, ["trip_id"])
-    durations = in_box_trips.select("trip_id", duration().alias("duration"))
-    return durations.join(winners, "trip_id", "inner").select("vendor_id", "trip_id", "distance", "duration")
+    durations = in_box_trips.select("trip_id", distance(kind).alias("distance"), duration().alias("duration"))
+    return durations.join(winners, ["trip_id", "distance"], "inner").select(
+        "vendor_id", "trip_id", "distance", "duration"
+    )
 
 
 def window_max(trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> DataFrame:
@@ -160,7 +165,7 @@ GROUP BY vendor_id
 """
 
 WINNERS_SQL = """
-SELECT r.vendor_id, r.trip_id, r.distance
+SELECT DISTINCT r.vendor_id, r.trip_id, r.distance
 FROM {rows} r
 JOIN {best} b ON r.vendor_id = b.vendor_id AND r.distance = b.max_distance
 """
@@ -168,7 +173,7 @@ JOIN {best} b ON r.vendor_id = b.vendor_id AND r.distance = b.max_distance
 LONGEST_TRIP_SQL = """
 SELECT w.vendor_id, w.trip_id, w.distance, d.duration
 FROM {winners} w
-JOIN {durations} d ON w.trip_id = d.trip_id
+JOIN {durations} d ON w.trip_id = d.trip_id AND w.distance = d.distance
 """
 
 
@@ -188,7 +193,7 @@ def longest_trip_sql(spark: SparkSession, trips: DataFrame, vendors: DataFrame,
     in_box_trips = trips.where(in_box())
     distances = in_box_trips.select("trip_id", distance(kind).alias("distance"))
     distances.join(vendors, "trip_id", "inner").createOrReplaceTempView(rows)
-    in_box_trips.select("trip_id", duration().alias("duration")).createOrReplaceTempView(durations)
+    in_box_trips.select("trip_id", distance(kind).alias("distance"), duration().alias("duration")).createOrReplaceTempView(durations)
     per_vendor = spark.sql(VENDOR_MAX_SQL.format(rows=rows))
     groups.bounded_broadcast(per_vendor, vendors.select("vendor_id"), ["vendor_id"]).createOrReplaceTempView(best)
     found = spark.sql(WINNERS_SQL.format(rows=rows, best=best))

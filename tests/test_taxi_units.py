@@ -149,6 +149,30 @@ def test_group_max_keeps_every_row(spark):
     assert out == {"t1": 10.0, "t2": 10.0, "t3": 6.0, "t4": 6.0}
 
 
+@pytest.mark.parametrize("form", ["window", "sql"])
+def test_longest_trip_with_repeated_trip_ids_equals_window(spark, form):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    rows = [
+        trip("1", -74.0, 40.0, -73.0, 41.0, minutes=5),  # same id twice, same distance
+        trip("1", -74.0, 40.0, -73.0, 41.0, minutes=9),
+        trip("1", -74.5, 40.5, -74.4, 40.6, minutes=2),  # same id, shorter
+        trip("2", -74.0, 40.0, -73.0, 41.0, minutes=7),  # tie with "1"
+        trip("3", -75.0, 42.0, -74.9, 42.1, minutes=3),
+    ]
+    t = trips_df(spark, rows)
+    v = spark.createDataFrame([("1", "a"), ("2", "a"), ("3", "b")], schemas.VENDORS)
+    if form == "window":
+        ours = taxi.longest_trip_window(t, v)
+    else:
+        ours = taxi.longest_trip_sql(spark, t, v)
+    j = taxi._trips_with_vendor(t.where(in_box()), v, "compat")
+    ref = j.withColumn("m", F.max("distance").over(Window.partitionBy("vendor_id"))).where("distance = m").drop("m")
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.select(*ours.columns).collect()))
+    assert ours.count() == 4
+
+
 def test_inner_join_drops_unmatched(spark):
     t = trips_df(spark, [trip("1", -74.0, 40.7, -73.9, 40.8), trip("2", -74.0, 40.7, -73.9, 40.8)])
     v = spark.createDataFrame([("1", "a"), ("3", "b")], schemas.VENDORS)
