@@ -20,3 +20,15 @@ def test_udf_registered_for_sql_matches_native(spark):
     ).first()
     assert row.u == pytest.approx(111.19492664, abs=1e-6)
     assert row.c == pytest.approx(6371.0, abs=1e-6)
+
+
+def test_spread_only_repartitions_small_scans(spark):
+    from tessera.sources.tables import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    spread_one = spread(one, "id")
+    assert spread_one.rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in spread_one.collect()) == list(range(100))
+    many = spark.range(100).repartition(cores * 2)
+    assert spread(many, "id") is many
