@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tools.oracle_check import digest, duck
+from tools.oracle_check import digest, duck, type_mismatches
 from tests.conftest import SF_SMALL
 
 ORACLE = entry.oracle_sql()
@@ -28,6 +28,7 @@ def test_matches_duckdb(spark, con, name):
     d_cols = [c[0] for c in cur.description]
     d_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
+    assert not type_mismatches(df.schema, d_cols, [str(t) for t in con.sql(ORACLE[name]).types])
     assert len(rows) == len(d_rows)
     assert digest(df.columns, rows)[0] == digest(d_cols, d_rows)[0]
 
