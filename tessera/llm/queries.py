@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, line_dedup, mixing
+from tessera.llm import decontaminate, line_dedup, mixing, near_dedup, quality
 from tessera.sources.tables import table
 
 QUERIES = {
     "op5_line_dedup": lambda spark, d: line_dedup.digest(table(spark, d, "documents")),
     "op6_decontaminate": lambda spark, d: decontaminate.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op7_near_dedup": lambda spark, d: near_dedup.digest(table(spark, d, "documents")),
+    "op8_quality": lambda spark, d: quality.judged(table(spark, d, "documents"), table(spark, d, "labels")),
     "op10_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
 }
 
