@@ -39,12 +39,21 @@ def count_words(text: Column) -> Column:
     ).cast("long")
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
-    Cuts the lineage on storage that survives lost executors.
+    Cuts the lineage on storage that survives lost executors, and lets Spark
+    delete this job's shuffle files as soon as the table is written.
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,6 @@ needs 8 bytes per word.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 
@@ -29,14 +28,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-@lru_cache(maxsize=8)
-def _powers(n: int, step: int) -> tuple[np.ndarray, np.ndarray]:
-    def series(base):
-        out = np.full(n, base, _U)
-        out[0] = 1
-        return np.cumprod(out, dtype=_U)
+class Memo(dict):
+    """A cache that stays behind when its module's functions are sent off."""
+
+    def __reduce__(self):
+        return dict, ()
+
 
-    return series(step), series(pow(step, -1, 1 << 64))
+_POWERS: dict = Memo()
+
+
+def _powers(n: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of ``step`` and of its inverse modulo 2**64."""
+    if (n, step) not in _POWERS:
+        if len(_POWERS) > 8:
+            _POWERS.clear()
+        both = np.full((2, n), step, _U)
+        both[1] = pow(step, -1, 1 << 64)
+        both[:, 0] = 1
+        _POWERS[n, step] = tuple(np.cumprod(both, axis=1, dtype=_U))
+    return _POWERS[n, step]
 
 
 def _round_up(n: int) -> int:

@@ -26,14 +26,13 @@ columns are carried through.
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._tokens import mix, word_and_head_hashes
+from tessera.llm._tokens import Memo, mix, word_and_head_hashes
 
 LABELLED = 6000
 POOL = 3000
@@ -52,12 +51,19 @@ for _b in range(0x21, 0x7F):
 _BINS = np.array([0.0, 0.005, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5, 0.8, 1.01])
 
 
-@lru_cache(maxsize=4096)
+_NAMES: dict = Memo()
+
+
 def _named(*parts) -> int:
-    h = 0xCBF29CE484222325
-    for b in "\x1f".join(map(str, parts)).encode():  # FNV-1a
-        h = ((h ^ b) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-    return h
+    """FNV-1a of the parts."""
+    if parts not in _NAMES:
+        if len(_NAMES) > 5000:
+            _NAMES.clear()
+        h = 0xCBF29CE484222325
+        for b in "\x1f".join(map(str, parts)).encode():
+            h = ((h ^ b) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
+        _NAMES[parts] = h
+    return _NAMES[parts]
 
 
 def _shape(text: bytes, n_words: int, n_distinct: int) -> list[int]:
