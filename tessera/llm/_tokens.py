@@ -12,6 +12,8 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SEGMENT = 1 << 20
 _U = np.uint64
@@ -133,3 +135,20 @@ def spans(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, step: int = _S
     """Hash of the words ``[start, end)`` for each pair."""
     total, inverse = _prefix(hashes, step)
     return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(_U))
+
+
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
+    return batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
+
+
+def slices(batches, column: str = "text", size: int = 2 << 20):
+    """Cut batches so that the texts of a piece hold about ``size`` bytes; only
+    a single longer text is more."""
+    for batch in batches:
+        length = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+        group = (np.cumsum(length.to_numpy(zero_copy_only=False).astype(np.int64) + 64) // size).tolist()
+        lo = 0
+        for hi in range(1, len(group) + 1):
+            if hi == len(group) or group[hi] != group[lo]:
+                yield batch.slice(lo, hi - lo)
+                lo = hi

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._tokens import Memo, mix, word_and_head_hashes
+from tessera.llm._tokens import Memo, mix, slices, texts_of, word_and_head_hashes
 
 LABELLED = 6000
 POOL = 3000
@@ -245,15 +245,12 @@ def fit_views(text, meta, good: np.ndarray, test: np.ndarray) -> Classifier:
 
 
 def _lists(batch: pa.RecordBatch, text: str, meta) -> tuple[list, list[list]]:
-    def get(name):
-        return batch.column(batch.schema.get_field_index(name))
-
-    return get(text).cast(pa.binary()).to_pylist(), [get(c).to_pylist() for c in meta]
+    return texts_of(batch, text), [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in meta]
 
 
 def _feature_rows(text: str, meta):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, text):
             texts, columns = _lists(batch, text, meta)
             for lo in range(0, len(texts), 256):
                 some = texts[lo : lo + 256]
@@ -321,7 +318,7 @@ def score(docs: DataFrame, model: Classifier, doc_id: str = "doc_id", text: str
     """doc_id, p_text, p_meta, p_good and accepted for every document."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, text):
             t, m, p = model.scores(*_lists(batch, text, meta))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(t), pa.array(m), pa.array(p), pa.array(p >= ACCEPT)],
@@ -338,7 +335,7 @@ def keep_accepted(docs: DataFrame, model: Classifier, text: str = "text", meta=M
     """The accepted documents, all columns untouched."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, text):
             yield batch.filter(pa.array(model.scores(*_lists(batch, text, meta))[2] >= ACCEPT))
 
     return docs.mapInArrow(run, docs.schema)

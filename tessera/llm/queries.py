@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, line_dedup, mixing, near_dedup, quality
+from tessera.llm import (
+    decontaminate,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality,
+    secret_scan,
+    substring_dedup,
+    url_reputation,
+)
 from tessera.sources.tables import table
 
 QUERIES = {
+    "op1_substring_dedup": lambda spark, d: substring_dedup.digest(table(spark, d, "documents")),
+    "op2_secret_scan": lambda spark, d: secret_scan.digest(table(spark, d, "documents")),
     "op5_line_dedup": lambda spark, d: line_dedup.digest(table(spark, d, "documents")),
     "op6_decontaminate": lambda spark, d: decontaminate.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op7_near_dedup": lambda spark, d: near_dedup.digest(table(spark, d, "documents")),
     "op8_quality": lambda spark, d: quality.judged(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op9_url_filter": lambda spark, d: url_reputation.digest(table(spark, d, "pages"), table(spark, d, "labels")),
     "op10_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
 }
 
 ORACLE = {
+    "op1_substring_dedup": substring_dedup.DIGEST_SQL,
     "op5_line_dedup": line_dedup.DIGEST_SQL,
     "op6_decontaminate": decontaminate.DIGEST_SQL,
+    "op9_url_filter": url_reputation.DIGEST_SQL,
 }

@@ -30,7 +30,6 @@ judged on the input, also within one text; empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm._common import scratch, text_key
-from tessera.llm._tokens import grams, spans, word_hashes
+from tessera.llm._tokens import grams, slices, spans, texts_of, word_hashes
 
 WINDOW = 35
 ANCHOR = 12
@@ -91,24 +90,14 @@ def paths(texts: list, window: int = WINDOW, anchor: int = ANCHOR):
     return owner, start - at[owner], length, m[start], spans(h, start, end), spans(h, start, end, _SECOND)
 
 
-def _texts(batch: pa.RecordBatch) -> list:
-    return batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo in range(0, batch.num_rows, rows):
-            yield batch.slice(lo, rows)
-
-
 def _anchor_rows(window: int, anchor: int):
     def run(batches):
-        for batch in _pieces(batches):
-            v, n = anchor_counts(_texts(batch), window, anchor)
+        for batch in slices(batches):
+            v, n = anchor_counts(texts_of(batch), window, anchor)
             yield pa.RecordBatch.from_arrays([_signed(v), pa.array(n.astype(np.int64))], names=["v", "n"])
 
     return run
@@ -116,8 +105,8 @@ def _anchor_rows(window: int, anchor: int):
 
 def _path_rows(window: int, anchor: int):
     def run(batches):
-        for batch in _pieces(batches):
-            owner, start, length, v, c1, c2 = paths(_texts(batch), window, anchor)
+        for batch in slices(batches):
+            owner, start, length, v, c1, c2 = paths(texts_of(batch), window, anchor)
             keys = [batch.column(batch.schema.get_field_index(k)).take(pa.array(owner)) for k in ("k1", "k2")]
             yield pa.RecordBatch.from_arrays(
                 keys + [pa.array(start), pa.array(length), _signed(v), _signed(c1), _signed(c2)],
@@ -146,10 +135,10 @@ def _edge_rows(window: int):
                 yield kind, w1[p], w2[p], p, np.zeros(len(p), np.int64)
 
     def run(batches):
-        for batch in _pieces(batches, 128):
+        for batch in slices(batches):
             todo = batch.column(batch.schema.get_field_index("todo")).to_pylist()
             keys = [batch.column(batch.schema.get_field_index(k)).to_pylist() for k in ("k1", "k2")]
-            out = [(i, *x) for i, (t, jobs) in enumerate(zip(_texts(batch), todo)) for x in one(t, jobs)]
+            out = [(i, *x) for i, (t, jobs) in enumerate(zip(texts_of(batch), todo)) for x in one(t, jobs)]
             if not out:
                 continue
             sizes = [len(x[2]) for x in out]
@@ -242,9 +231,9 @@ def _cut(doc_id: str, window: int):
         return len(words), len(words) - len(left), b" ".join(left)
 
     def run(batches):
-        for batch in _pieces(batches):
+        for batch in slices(batches):
             marked = batch.column(batch.schema.get_field_index("spans")).to_pylist()
-            out = [kept(t, s) for t, s in zip(_texts(batch), marked)]
+            out = [kept(t, s) for t, s in zip(texts_of(batch), marked)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(batch.schema.get_field_index(doc_id)),
