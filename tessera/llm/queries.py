@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from tessera.llm import (
     decontaminate,
+    html_extract,
     line_dedup,
     mixing,
     near_dedup,
     quality,
     secret_scan,
     substring_dedup,
+    topk_search,
     url_reputation,
 )
 from tessera.sources.tables import table
@@ -19,6 +21,8 @@ QUERIES = {
     "op2_secret_scan": lambda spark, d: secret_scan.digest(table(spark, d, "documents")),
     "op5_line_dedup": lambda spark, d: line_dedup.digest(table(spark, d, "documents")),
     "op6_decontaminate": lambda spark, d: decontaminate.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op3_html_extract": lambda spark, d: html_extract.digest(table(spark, d, "pages")),
+    "op4_topk_search": lambda spark, d: topk_search.digest(table(spark, d, "embeddings")),
     "op7_near_dedup": lambda spark, d: near_dedup.digest(table(spark, d, "documents")),
     "op8_quality": lambda spark, d: quality.judged(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_url_filter": lambda spark, d: url_reputation.digest(table(spark, d, "pages"), table(spark, d, "labels")),
@@ -27,6 +31,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_substring_dedup": substring_dedup.DIGEST_SQL,
+    "op4_topk_search": topk_search.DIGEST_SQL,
     "op5_line_dedup": line_dedup.DIGEST_SQL,
     "op6_decontaminate": decontaminate.DIGEST_SQL,
     "op9_url_filter": url_reputation.DIGEST_SQL,
