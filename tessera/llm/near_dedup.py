@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm._common import ASCII_SPACE, scratch, text_key
-from tessera.llm._tokens import grams, mix, spans, word_hashes
+from tessera.llm._tokens import grams, mix, slices, spans, texts_of, word_hashes
 from tessera.llm.components import components
 
 SHINGLE = 5
@@ -139,8 +139,8 @@ def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = _column(batch, "text").cast(pa.binary()).to_pylist()
+    for batch in slices(batches):
+        texts = texts_of(batch)
         hashes, at = shingle_sets(texts)
         owner = np.repeat(np.arange(len(texts)), np.diff(at))
         s1, s2 = np.zeros(len(texts), np.uint64), np.zeros(len(texts), np.uint64)
@@ -160,7 +160,7 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "sketch"):
         raw = b"".join(_column(batch, "sketch").to_pylist())
         bands = band_hashes(np.frombuffer(raw, np.uint16).reshape(-1, REGISTERS))
         yield pa.RecordBatch.from_arrays(
@@ -169,8 +169,8 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes, at = shingle_sets(_column(batch, "text").cast(pa.binary()).to_pylist())
+    for batch in slices(batches):
+        hashes, at = shingle_sets(texts_of(batch))
         sets = pa.LargeListArray.from_arrays(pa.array(at), pa.array(hashes.view(np.int64)))
         yield pa.RecordBatch.from_arrays([_column(batch, "cid"), sets.cast(pa.list_(pa.int64()))], names=["cid", "shingles"])
 
