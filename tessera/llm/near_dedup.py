@@ -14,9 +14,13 @@
    counts of larger, smaller and equal registers and the known set sizes,
    drops pairs below ``ESTIMATE`` (over five standard errors under 0.75); the
    others are verified on the full shingle sets.
-5. Buckets whose members are still in several components are searched again,
-   block by block: pairs from different components that pass the estimate are
-   verified too. So no pair that shares a bucket is left undecided.
+5. Buckets whose members are still in several components are searched again.
+   Their members are gathered into clusters (classes that such buckets
+   connect), a cluster is dealt into blocks of ``BLOCK`` classes, and every pair
+   of blocks is one task: pairs from different components whose sketches and
+   estimate allow a link are verified there on the full sets, and only links
+   that join two components are returned. So no pair that shares a bucket is
+   left undecided, and no task or table holds a group's pairs.
 
 Defined results: null or blank texts have size 0 and are linked with nothing;
 texts under five words are one shingle, the whole sequence; repeated rows are
@@ -182,20 +186,29 @@ def _likely(a: pd.Series, b: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Seri
     return pd.Series(estimate(x, y, na.to_numpy(float), nb.to_numpy(float)) >= ESTIMATE)
 
 
-def _block_pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs between the two blocks of a bucket that could still be links."""
+def _block_links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between the two blocks of a cluster that join components."""
     _, i, j = key
+    rows = rows.sort_values("cid", ignore_index=True)
     registers = np.frombuffer(b"".join(rows["sketch"]), np.uint16).reshape(-1, REGISTERS)
-    cid, root, n, own = (rows[c].to_numpy() for c in ("cid", "root", "n", "own"))
-    left = np.flatnonzero(own == i)
+    cid, n, own = (rows[c].to_numpy() for c in ("cid", "n", "own"))
+    root, sets = rows["root"].to_numpy().copy(), [np.sort(s) for s in rows["shingles"]]
     found = []
-    for x in left:
-        ys = np.flatnonzero(
-            (own == j) & (root != root[x]) & ((cid > cid[x]) | (i != j)) & (4 * np.minimum(n, n[x]) >= 3 * np.maximum(n, n[x]))
-        )
-        if len(ys):
-            e = estimate(np.broadcast_to(registers[x], (len(ys), REGISTERS)), registers[ys], np.full(len(ys), float(n[x])), n[ys].astype(float))
-            found += [(min(cid[x], cid[y]), max(cid[x], cid[y])) for y in ys[e >= ESTIMATE]]
+    for x in np.flatnonzero(own == i):
+        other = (own == j) & (root != root[x]) & ((cid > cid[x]) | (i != j))
+        ys = np.flatnonzero(other & (4 * np.minimum(n, n[x]) >= 3 * np.maximum(n, n[x])))
+        # Few registers agree by far in most pairs; spare them the estimate.
+        ys = ys[2 * (registers[ys] == registers[x]).sum(axis=1) >= REGISTERS]
+        if not len(ys):
+            continue
+        e = estimate(np.broadcast_to(registers[x], (len(ys), REGISTERS)), registers[ys], np.full(len(ys), float(n[x])), n[ys].astype(float))
+        for y in ys[e >= ESTIMATE]:
+            if root[y] == root[x]:
+                continue
+            shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if 100 * shared >= 75 * (n[x] + n[y] - shared):
+                found.append((min(cid[x], cid[y]), max(cid[x], cid[y])))
+                root[root == root[y]] = root[x]
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
@@ -212,27 +225,53 @@ def _likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The links among ``pairs``: similarity of the full sets at least 3/4."""
-    pairs = scratch(pairs, "nd-pairs")
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
+def _full_sets(wanted: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """(cid, shingles) of the classes in ``wanted``, from one of their texts."""
     needed = classes.select("cid", "rep.k1", "rep.k2").join(wanted, "cid", "left_semi")
-    sets = (
+    return (
         keyed.join(needed, ["k1", "k2"])
         .select("cid", "text")
         .mapInArrow(_set_rows, "cid bigint, shingles array<bigint>")
         .groupBy("cid")
         .agg(F.first("shingles").alias("shingles"))
     )
-    sets = scratch(sets, "nd-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links among ``pairs``: similarity of the full sets at least 3/4."""
     shared = F.size(F.array_intersect("sa", "sb"))
-    links = (
+    return (
         pairs.join(sets.toDF("b", "sb"), "b")
         .join(sets.toDF("a", "sa"), "a")
         .where(100 * shared >= 75 * (F.size("sa") + F.size("sb") - shared))
         .select("a", "b")
     )
-    return scratch(links, "nd-links")
+
+
+def _remaining_links(members: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that join components within buckets that hold several."""
+    placed = members.join(roots, F.col("cid") == F.col("node"), "left").select(
+        "bh", "cid", "head", F.coalesce("root", "cid").alias("root")
+    )
+    several = (
+        placed.groupBy("bh").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bh")
+    )
+    still = scratch(placed.join(several, "bh", "left_semi"), "nd-open")
+    cluster = components(still.select(F.col("head").alias("a"), F.col("cid").alias("b")))
+    cluster = cluster.select(F.col("node").alias("cid"), F.col("root").alias("cluster"))
+    sizes = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where("size > 2")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = (
+        cluster.join(sizes, "cluster")
+        .withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("cid"), blocks).cast("int")})
+        .join(still.select("cid", "root").distinct(), "cid")
+        .join(classes.select("cid", "n", "sketch"), "cid")
+        .join(sets, "cid")
+        # A member meets every block; i <= j names a pair of blocks.
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "root", "n", "sketch", "shingles")
+    )
+    return rows.groupBy("cluster", "i", "j").applyInPandas(_block_links, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -259,33 +298,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     heads = bands.groupBy("bh").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = scratch(bands.join(heads, "bh").select("bh", "cid", "head", "size"), "nd-members")
     stars = members.where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b")).distinct()
-    links = _verified(_likely_pairs(stars, classes), classes, keyed)
+    stars = scratch(stars, "nd-stars")
+    wanted = stars.select("a").union(stars.select("b")).distinct().withColumnRenamed("a", "cid")
+    sets = scratch(_full_sets(wanted, classes, keyed), "nd-sets")
+    links = scratch(_verified(_likely_pairs(stars, classes), sets), "nd-links")
     roots = components(links)
-
-    # Buckets that still hold several components.
-    placed = members.join(roots, F.col("cid") == F.col("node"), "left").select(
-        "bh", "cid", "size", F.coalesce("root", "cid").alias("root")
-    )
-    open_buckets = (
-        placed.groupBy("bh").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bh")
-    )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    # A member meets every block; i <= j names a pair of blocks.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rest = (
-        placed.join(open_buckets, "bh", "left_semi")
-        .where("size > 2")
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-        .withColumn("other", other)
-        .join(classes.select("cid", "n", "sketch"), "cid")
-        .select("bh", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "root", "n", "sketch")
-    )
-    more = rest.groupBy("bh", "i", "j").applyInPandas(_block_pairs, "a bigint, b bigint").distinct()
-    more = scratch(more.join(links, ["a", "b"], "left_anti"), "nd-more")
+    more = scratch(_remaining_links(members, roots, classes, sets), "nd-more")
     if more.take(1):
-        links = links.union(_verified(more, classes, keyed))
-        roots = components(links)
+        roots = components(links.union(more))
 
     by_class = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "s1", "s2", "min_id", F.coalesce("root", "cid").alias("root")
