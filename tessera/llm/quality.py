@@ -7,12 +7,13 @@ Each view is a logistic regression on binary features. In every round each
 view scores a pool of unlabelled documents and hands those it is confident of
 (calibrated on held-out labels) to the *other* view as pseudo-labels; both are
 fitted again. In the end the views' calibrated log-odds are combined by a
-small logistic model fitted on the held-out labels, and every document is
+small logistic model fitted on held-out labels, and every document is
 scored.
 
 A document is good if it is labelled quality 1 and not toxic. Only fitting
 uses a sample: at most ``LABELLED`` labelled and ``POOL`` unlabelled documents,
-those with the smallest seeded hash of the id, fetched as feature lists. Text
+those with the smallest seeded hash of the id. Their features are counted in
+Spark; only those that a view uses come to the driver, as numbers. Text
 statistics are of whole texts, and scoring reads every document in one pass
 without a shuffle.
 
@@ -32,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm._common import scratch
 from tessera.llm._tokens import Memo, mix, slices, texts_of, word_and_head_hashes
 
 LABELLED = 6000
@@ -114,34 +116,29 @@ def by_text(key: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return key, np.searchsorted(owner, np.arange(n + 1))
 
 
+def _take(ids: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of some rows, and which of them each belongs to."""
+    n = at[rows + 1] - at[rows]
+    first = np.concatenate([[0], np.cumsum(n)])
+    return ids[np.arange(first[-1]) + np.repeat(at[rows] - first[:-1], n)], np.repeat(np.arange(len(rows)), n)
+
+
 class View:
     """Logistic regression on sets of 64-bit features."""
 
-    def __init__(self, key: np.ndarray, at: np.ndarray, rows: np.ndarray, good: np.ndarray):
-        """Features of at least MIN_DF of the sampled ``rows`` that tell good
-        ones from others; ``lift`` is the size of their log-odds ratio."""
-        feats, first = self._take(key, at, rows)
-        seen, place = np.unique(feats, return_inverse=True)
-        label = good[np.repeat(np.arange(len(rows)), np.diff(first))]
-        with_good, with_bad = np.bincount(place, label, len(seen)), np.bincount(place, 1 - label, len(seen))
-        lift = np.abs(np.log((with_good + 0.5) / (good.sum() + 1)) - np.log((with_bad + 0.5) / ((1 - good).sum() + 1)))
-        keep = (with_good + with_bad >= min(MIN_DF, max(1, len(rows) // 20))) & (lift >= MIN_RATIO)
-        self.keys, self.lift = seen[keep], lift[keep]
-        self.weights, self.bias, self.scale = np.zeros(len(self.keys)), 0.0, (1.0, 0.0)
-        bits = max(10, int(len(self.keys) * 16).bit_length())
+    def __init__(self, keys: np.ndarray, lift: np.ndarray):
+        """The features used, and the sizes of their log-odds ratios."""
+        order = np.argsort(keys)
+        self.keys, self.lift = keys[order], lift[order]
+        self.weights, self.bias, self.scale = np.zeros(len(keys)), 0.0, (1.0, 0.0)
+        bits = max(10, int(len(keys) * 16).bit_length())
         # A table of one slot per key: rarely, a key yields to a later one.
         self.mask = np.uint64((1 << bits) - 1)
         self.slot = np.zeros(1 << bits, np.int32)
-        self.slot[(self.keys & self.mask).astype(np.int64)] = np.arange(len(self.keys))
-
-    @staticmethod
-    def _take(key, at, rows):
-        n = at[rows + 1] - at[rows]
-        first = np.concatenate([[0], np.cumsum(n)])
-        return key[np.arange(first[-1]) + np.repeat(at[rows] - first[:-1], n)], first
+        self.slot[(self.keys & self.mask).astype(np.int64)] = np.arange(len(keys))
 
-    def _ids(self, key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Known features as numbers, once per owner."""
+    def ids(self, key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Known features as numbers, once per owner, by owner."""
         if not len(self.keys):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = self.slot[(key & self.mask).astype(np.int64)]
@@ -149,22 +146,19 @@ class View:
         pairs = np.unique(owner[known].astype(np.int64) * len(self.keys) + at[known])
         return pairs % len(self.keys), pairs // len(self.keys)
 
-    def margins(self, key: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-        ids, owner = self._ids(key, owner)
-        return np.bincount(owner, self.weights[ids], n) + self.bias
+    def _scaled(self, ids: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+        a, b = self.scale
+        return a * (np.bincount(owner, self.weights[ids], n) + self.bias) + b
 
     def log_odds(self, key: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
         """Calibrated log-odds that a document is good."""
-        a, b = self.scale
-        return a * self.margins(key, owner, n) + b
+        return self._scaled(*self.ids(key, owner), n)
 
-    def sample_log_odds(self, key: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        feats, first = self._take(key, at, rows)
-        return self.log_odds(feats, np.repeat(np.arange(len(rows)), np.diff(first)), len(rows))
+    def sample_log_odds(self, ids: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return self._scaled(*_take(ids, at, rows), len(rows))
 
-    def fit(self, key, at, rows: np.ndarray, good: np.ndarray) -> None:
-        feats, first = self._take(key, at, rows)
-        ids, owner = self._ids(feats, np.repeat(np.arange(len(rows)), np.diff(first)))
+    def fit(self, ids: np.ndarray, at: np.ndarray, rows: np.ndarray, good: np.ndarray) -> None:
+        ids, owner = _take(ids, at, rows)
         x, k = self.lift[ids], len(self.keys)
         w = np.zeros(k + 1)  # the last one is the bias
         m, v = np.zeros_like(w), np.zeros_like(w)
@@ -176,8 +170,8 @@ class View:
             w -= 0.08 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
         self.weights, self.bias, self.scale = w[:-1] * self.lift, float(w[-1]), (1.0, 0.0)
 
-    def calibrate(self, key, at, rows: np.ndarray, good: np.ndarray) -> None:
-        a, b = platt(self.sample_log_odds(key, at, rows)[:, None], good)
+    def calibrate(self, ids: np.ndarray, at: np.ndarray, rows: np.ndarray, good: np.ndarray) -> None:
+        a, b = platt(self.sample_log_odds(ids, at, rows)[:, None], good)
         self.scale = (float(a), float(b))
 
 
@@ -214,32 +208,31 @@ class Classifier:
         return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (t, m, both))
 
 
-def fit_views(text, meta, good: np.ndarray, test: np.ndarray) -> Classifier:
-    """text, meta: (features, offsets) of the sample; good: 1, 0 or -1 (not
-    labelled); test: marks held-out rows, used for calibration only."""
+def fit_views(views: list[View], samples: list, good: np.ndarray, test: np.ndarray) -> Classifier:
+    """samples: (feature ids, offsets) of the sample for each view; good: 1, 0
+    or -1 (not labelled); test: marks held-out rows, for calibration only."""
     known = good >= 0
     train, held, pool = (np.flatnonzero(x) for x in (known & ~test, known & test, ~known))
     model = Classifier(float(good[known].mean()) if known.any() else 1.0)
     if len(np.unique(good[train])) < 2 or len(np.unique(good[held])) < 2:
         return model
     label = good.astype(float)
-    views = [(View(*v, train, label[train]), v) for v in (text, meta)]
     extra = [np.zeros(len(good), bool), np.zeros(len(good), bool)]
     pseudo = [label.copy(), label.copy()]
     for done in range(ROUNDS + 1):
-        for i, (view, (key, at)) in enumerate(views):
+        for i, (view, sample) in enumerate(zip(views, samples)):
             rows = np.concatenate([train, np.flatnonzero(extra[i])])
-            view.fit(key, at, rows, pseudo[i][rows])
-            view.calibrate(key, at, held, label[held])
+            view.fit(*sample, rows, pseudo[i][rows])
+            view.calibrate(*sample, held, label[held])
         if done == ROUNDS:
             break
-        for i, (view, (key, at)) in enumerate(views):
-            p = 1 / (1 + np.exp(-np.clip(view.sample_log_odds(key, at, pool), -30, 30)))
+        for i, (view, sample) in enumerate(zip(views, samples)):
+            p = 1 / (1 + np.exp(-np.clip(view.sample_log_odds(*sample, pool), -30, 30)))
             sure = pool[(p >= CONFIDENT) | (p <= 1 - CONFIDENT)]
             extra[1 - i][sure] = True
             pseudo[1 - i][pool] = (p >= 0.5).astype(float)
-    model.text, model.meta = (v for v, _ in views)
-    z = np.column_stack([v.sample_log_odds(key, at, held) for v, (key, at) in views])
+    model.text, model.meta = views
+    z = np.column_stack([view.sample_log_odds(*sample, held) for view, sample in zip(views, samples)])
     model.blend = platt(z, label[held])
     return model
 
@@ -249,23 +242,61 @@ def _lists(batch: pa.RecordBatch, text: str, meta) -> tuple[list, list[list]]:
 
 
 def _feature_rows(text: str, meta):
+    """(ord, good) and the distinct features of both views, as longs."""
+
     def run(batches):
         for batch in slices(batches, text):
             texts, columns = _lists(batch, text, meta)
-            for lo in range(0, len(texts), 256):
-                some = texts[lo : lo + 256]
-                (tk, ta), (mk, ma) = (
-                    by_text(*f, len(some)) for f in (text_features(some), meta_features([c[lo : lo + 256] for c in columns]))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo : lo + 256], batch.column(1)[lo : lo + 256]]
-                    + [pa.array([k[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()) for k, at in ((tk, ta), (mk, ma))],
-                    names=["ord", "good", "t", "m"],
-                )
+            views = []
+            for features in (text_features(texts), meta_features(columns)):
+                key, at = by_text(*features, len(texts))
+                views.append(pa.LargeListArray.from_arrays(pa.array(at), pa.array(key.view(np.int64))).cast(pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *views], names=["ord", "good", "t", "m"])
+
+    return run
+
+
+def _id_rows(views: list[View]):
+    """The same rows with the numbers of the features that the views use."""
+
+    def run(batches):
+        for batch in batches:
+            columns = []
+            for i, view in enumerate(views):
+                lists = batch.column(2 + i)
+                owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                ids, owner = view.ids(lists.flatten().to_numpy().view(np.uint64), owner)
+                at = np.searchsorted(owner, np.arange(len(lists) + 1)).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(at), pa.array(ids.astype(np.int32))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["ord", "good", "t", "m"])
 
     return run
 
 
+def _view(sample: DataFrame, column: str) -> View:
+    """Features of at least MIN_DF training rows that tell good ones from
+    others, counted in Spark; the rest of the vocabulary stays there."""
+    rows = sample.where(F.col("good") >= 0).where(~_held_out())
+    n, n_good = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("good"), F.lit(0))).first()
+    lift = F.abs(
+        F.ln((F.col("g") + 0.5) / (n_good + 1)) - F.ln((F.col("df") - F.col("g") + 0.5) / (n - n_good + 1))
+    )
+    kept = (
+        rows.select("good", F.explode(column).alias("f"))
+        .groupBy("f")
+        .agg(F.sum("good").alias("g"), F.count(F.lit(1)).alias("df"))
+        .where(F.col("df") >= min(MIN_DF, max(1, n // 20)))
+        .select("f", lift.alias("lift"))
+        .where(F.col("lift") >= MIN_RATIO)
+        .toPandas()
+    )
+    return View(kept["f"].to_numpy(np.int64).view(np.uint64), kept["lift"].to_numpy(float))
+
+
+def _held_out():
+    return F.pmod(F.xxhash64("ord"), F.lit(5)) == 0
+
+
 def _order(doc_id: str):
     return F.xxhash64(F.lit("quality-1"), F.col(doc_id))
 
@@ -298,20 +329,27 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     )
     # Bounded by LABELLED + POOL rows of three numbers, so safe to broadcast.
     wanted = F.broadcast(chosen.union(pool))
-    rows = (
+    sample = scratch(
         docs.join(wanted, F.col(doc_id) == F.col("l_id"))
         .select("ord", "good", F.col(text).alias("text"), *[F.col(c) for c in meta])
-        .mapInArrow(_feature_rows("text", meta), "ord bigint, good int, t binary, m binary")
+        .mapInArrow(_feature_rows("text", meta), "ord bigint, good int, t array<bigint>, m array<bigint>"),
+        "qc-sample",
+    )
+    views = [_view(sample, c) for c in ("t", "m")]
+    rows = (
+        sample.mapInArrow(_id_rows(views), "ord bigint, good int, t array<int>, m array<int>")
+        .withColumn("test", _held_out())
+        .orderBy("ord", "good", "t", "m")
         .toPandas()
-        .sort_values(["ord", "good", "t"], ignore_index=True)
     )
-    views = []
-    for c in ("t", "m"):
-        key = np.frombuffer(b"".join(rows[c]), np.uint64) if len(rows) else np.zeros(0, np.uint64)
-        views.append((key, np.concatenate([[0], np.cumsum(rows[c].map(len).to_numpy(np.int64) // 8)])))
-    good = rows["good"].to_numpy(np.int64)
-    test = (mix(rows["ord"].to_numpy(np.int64).view(np.uint64)) % np.uint64(5)) == 0
-    return fit_views(views[0], views[1], good, test)
+    samples = [
+        (
+            np.concatenate([np.zeros(0, np.int64), *rows[c]]).astype(np.int64),
+            np.concatenate([[0], np.cumsum(rows[c].map(len).to_numpy(np.int64))]),
+        )
+        for c in ("t", "m")
+    ]
+    return fit_views(views, samples, rows["good"].to_numpy(np.int64), rows["test"].to_numpy(bool))
 
 
 def score(docs: DataFrame, model: Classifier, doc_id: str = "doc_id", text: str = "text", meta=META) -> DataFrame:
