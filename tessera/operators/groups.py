@@ -1,145 +1,76 @@
 """Grouped aggregation, arg-max per group, per-group maxima and top-k.
 
-All of them aggregate with Catalyst's partial (map-side) + final plan, so
-a group holding a third of all rows still ships one partial row per map
-task; none of them gathers a group into one task.
+Averages and maxima are partial (map-side) plus final aggregates, arg-max is a
+ranking window with a map-side limit: a group holding a third of all rows
+ships one row (or its ties) per map task, and no group is gathered into one
+task. No plan depends on a size measured or guessed here.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_root
-
-# Per-group tables with at most this many rows are broadcast back to the
-# rows; larger ones are joined with a shuffle (AQE splits skewed keys).
-MAX_BROADCAST_GROUPS = 500_000
-
 
 def _cols(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-# Results with at most this many groups (a bound known from the key's
-# domain, e.g. 24 hours) are sorted inside one partition.
-SMALL_RESULT_GROUPS = 10_000
-
-
-def avg_by(
-    df: DataFrame,
-    key: Column | str,
-    averages: dict[str, Column | str],
-    key_name=None,
-    max_groups: int | None = None,
-) -> DataFrame:
-    """``groupBy(key).agg(avg(...))`` with named outputs, sorted by key.
-
-    Give ``max_groups`` when the key's domain bounds the number of groups:
-    a small bounded result is sorted in a single partition, which skips the
-    sampling job and shuffle of a range-partitioned ``orderBy``.
-    """
+def avg_by(df: DataFrame, key: Column | str, averages: dict[str, Column | str], key_name=None) -> DataFrame:
+    """``groupBy(key).agg(avg(...))`` with named outputs, sorted by key."""
     key_col = F.col(key) if isinstance(key, str) else key
     if key_name:
         key_col = key_col.alias(key_name)
     aggs = [F.avg(c).alias(name) for name, c in averages.items()]
     out = df.groupBy(key_col).agg(*aggs)
-    if max_groups is not None and max_groups <= SMALL_RESULT_GROUPS:
-        return out.coalesce(1).sortWithinPartitions(out.columns[0])
     return out.orderBy(out.columns[0])
 
 
-def count_by(df: DataFrame, keys: str | Sequence[str], name: str = "n") -> DataFrame:
-    return df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(name))
-
-
 def argmax_by(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    value: str,
-    ties: str = "all",
-    tie_break: Sequence[str] = (),
-    key_domain: DataFrame | None = None,
+    df: DataFrame, keys: str | Sequence[str], value: str, ties: str = "all", tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """Rows holding the largest ``value`` of their group.
 
-    ``ties='all'`` keeps every row equal to the group maximum (the window
-    semantics). The maximum is a partial aggregate, joined back on
-    (keys, value): broadcast when the per-group table is small (checked, see
-    ``_group_table``), otherwise a shuffle join whose key includes the
-    value, so a hot group is spread over many partitions.
-
-    ``ties='one'`` keeps one row per group, the largest by
-    (value, *tie_break); it is a single aggregation of ``max(struct(...))``.
-    NULL values never win.
+    ``ties='all'`` keeps every row equal to the group maximum (``rank() = 1``),
+    ``ties='one'`` one row per group, the largest by (value, *tie_break, then
+    the other columns; ``row_number() = 1``). NULL values never win. Spark
+    plans a WindowGroupLimit below the shuffle: each task keeps its own best
+    rows per group, and only those are sent to the group's task.
     """
     keys = _cols(keys)
-    if ties == "all":
-        # max ignores NULLs; filtering them here as well mirrors the
-        # isnotnull(value) Catalyst infers on the row side from the join
-        # condition, so both branches plan the same input and share shuffles.
-        valued = df.where(F.col(value).isNotNull())
-        best = _group_table(valued, keys, F.max(value).alias("__best"), key_domain).alias("__r")
-        cond = _key_match(keys) + [F.col(f"__l.`{value}`") == F.col("__r.__best")]
-        return df.alias("__l").join(best, cond, "inner").select(*_left_cols(df))
+    if ties not in ("all", "one"):
+        raise ValueError("ties must be 'all' or 'one'")
+    order = [F.desc(value)]
     if ties == "one":
         rest = [c for c in df.columns if c not in keys and c != value and c not in tie_break]
-        ordered = [value, *tie_break, *rest]
-        packed = F.max(F.struct(*ordered)).alias("__best")
-        out = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(packed)
-        return out.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in ordered]).select(*df.columns)
-    raise ValueError("ties must be 'all' or 'one'")
-
-
-def with_group_max(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    value: str,
-    out: str,
-    key_domain: DataFrame | None = None,
-) -> DataFrame:
+        order += [F.desc(c) for c in (*tie_break, *rest)]
+    place = (F.rank() if ties == "all" else F.row_number()).over(Window.partitionBy(*keys).orderBy(*order))
+    valued = df.where(F.col(value).isNotNull())
+    return valued.withColumn("__place", place).where(F.col("__place") == 1).select(*df.columns)
+
+
+def with_group_max(df: DataFrame, keys: str | Sequence[str], value: str, out: str) -> DataFrame:
     """Every row plus the maximum of ``value`` over its group, i.e.
     ``max(value) over (partition by keys)`` without sending a whole group
-    to one task: partial aggregate, then join back on the keys (broadcast
-    when the group table is small, otherwise a sort-merge join that AQE
-    splits on skewed keys).
+    to one task: partial aggregate, then join back on the keys, without a
+    hint (AQE broadcasts a small group table and splits skewed keys).
+
+    The aggregate also counts the non-null values of every column, and a
+    condition that always holds refers to the counts: both branches then ask
+    for the same columns of ``df``, so its shuffles are planned once and
+    reused.
     """
     keys = _cols(keys)
-    best = _group_table(df, keys, F.max(value).alias(out), key_domain).alias("__r")
+    others = [c for c in df.columns if c not in keys]
+    counts = {f"__seen{i}": F.count(c) for i, c in enumerate(others)}
+    best = df.groupBy(*keys).agg(F.max(value).alias(out), *[n.alias(c) for c, n in counts.items()])
+    best = best.where(" AND ".join(f"{c} >= 0" for c in counts)).alias("__r")
     joined = df.alias("__l").join(best, _key_match(keys), "inner")
     return joined.select(*_left_cols(df), F.col(f"__r.`{out}`"))
 
 
-def bounded_broadcast(table: DataFrame, key_domain: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Mark a per-group table for broadcast when its row count is bounded.
-
-    With ``key_domain`` (a DataFrame the group keys are drawn from) the
-    bound is the approximate distinct count of the keys there, one cheap
-    pass over a single column; otherwise the table is materialised once
-    (reliable checkpoint in the shared folder) and counted exactly.
-    Unbounded tables are returned unmarked, for a shuffle join.
-    """
-    if key_domain is not None:
-        key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
-        # HyperLogLog++ at its default 5% relative error (a finer sketch
-        # costs several times more per row); 1.5x the estimate is ten
-        # standard errors above it, a safe bound.
-        estimate = key_domain.select(F.approx_count_distinct(key)).first()[0]
-        return F.broadcast(table) if 1.5 * estimate <= MAX_BROADCAST_GROUPS else table
-    checkpoint_root(table.sparkSession)
-    table = table.checkpoint(eager=True)
-    return F.broadcast(table) if table.count() <= MAX_BROADCAST_GROUPS else table
-
-
-def _group_table(df: DataFrame, keys: list[str], agg: Column, key_domain: DataFrame | None) -> DataFrame:
-    """The per-group aggregate, marked for broadcast only when its size is
-    bounded (``bounded_broadcast``). With a key domain the table is
-    broadcast within the same job, with no materialisation."""
-    return bounded_broadcast(df.groupBy(*keys).agg(agg), key_domain, keys)
-
-
 def _key_match(keys: list[str]) -> list[Column]:
     # Null-safe, like a window partition: NULL keys form one group.
     return [F.col(f"__l.`{k}`").eqNullSafe(F.col(f"__r.`{k}`")) for k in keys]

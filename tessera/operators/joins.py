@@ -11,13 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A build side is broadcast only when its row count is bounded by
-# construction and bound x width stays under this many bytes; beyond it the
-# join falls back to sort-merge.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-_ROW_BYTES_GUESS = 256
-
-
 def join_inner(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Inner equi-join; Spark chooses the strategy from statistics (and AQE
     revisits it with run-time sizes)."""
@@ -39,18 +32,13 @@ def join_bounded(
     n: int,
     order: Sequence[Column | str],
     how: str = "inner",
-    row_bytes: int = _ROW_BYTES_GUESS,
 ) -> DataFrame:
-    """Join ``big`` with the first ``n`` rows of ``side``.
+    """Join ``big`` with the first ``n`` rows of ``side``, broadcast.
 
-    The bounded side has at most ``n`` rows by construction, so it is
-    broadcast when ``n * row_bytes`` fits ``BROADCAST_MAX_BYTES``; a larger
-    bound falls back to a sort-merge join.
+    ``n`` is the proven bound of the broadcast: choose it so that n rows fit
+    an executor (the join study uses 50). For more, use ``join_sort_merge``.
     """
-    bounded = limit_build_side(side, n, order)
-    if n * row_bytes <= BROADCAST_MAX_BYTES:
-        return big.join(F.broadcast(bounded), on, how)
-    return join_sort_merge(big, bounded, on, how)
+    return big.join(F.broadcast(limit_build_side(side, n, order)), on, how)
 
 
 def join_sort_merge(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:

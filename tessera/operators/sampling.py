@@ -10,25 +10,14 @@ from pyspark.sql import functions as F
 HASH_BUCKETS = 10_000
 
 
-def stratified_sample(
-    df: DataFrame, col: str, fractions: Mapping[str, float] | float, seed: int
-) -> DataFrame:
-    """Bernoulli sample keeping each row with its stratum's fraction (the
-    ``sampleBy`` rule: ``rand(seed) < fraction[col]``).
+def stratified_sample(df: DataFrame, col: str, fractions: Mapping, seed: int) -> DataFrame:
+    """``sampleBy``: each row is kept with the fraction of its stratum;
+    strata missing from the mapping get fraction 0.
 
-    A single float applies to every stratum, so the strata never have to be
-    collected on the driver. Strata missing from a mapping get fraction 0.
-    ``rand`` is seeded per partition, so the sample depends on partitioning;
-    use ``hash_split`` when it must be repeatable.
+    The seed is per partition, so the sample depends on partitioning; use
+    ``hash_split`` when it must be repeatable.
     """
-    if isinstance(fractions, Mapping):
-        pairs = []
-        for key, frac in fractions.items():
-            pairs += [F.lit(key), F.lit(float(frac))]
-        frac_col = F.coalesce(F.create_map(*pairs)[F.col(col)], F.lit(0.0))
-    else:
-        frac_col = F.lit(float(fractions))
-    return df.where(F.rand(seed) < frac_col)
+    return df.sampleBy(col, dict(fractions), seed)
 
 
 def hash_bucket(keys: Sequence[str], seed: int, buckets: int = HASH_BUCKETS) -> Column:

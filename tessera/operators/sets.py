@@ -5,52 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# EXCEPT ALL emits a row's remaining copies in pieces of at most this many,
-# each piece in whatever task it lands in.
-COPY_CHUNK = 100_000
 
 
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of ``left`` that are not in ``right`` (SQL EXCEPT).
-
-    Both sides are de-duplicated first: partial aggregation collapses the
-    copies of a row in each task, so the anti-join that follows sees each
-    value once. (``subtract`` alone anti-joins every copy before the
-    distinct, sending all copies of a frequent row to one task.)"""
-    return left.distinct().subtract(right.distinct())
-
-
-def except_all(left: DataFrame, right: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
-    """Multiset difference (SQL EXCEPT ALL, columns matched by position): a
-    row occurring ``a`` times in ``left`` and ``b`` times in ``right`` is
-    kept ``max(a - b, 0)`` times.
-
-    The copies are counted per distinct row with a partial aggregation.
-    Rows with up to ``chunk`` remaining copies are expanded where they are;
-    a row with more (one value holding a large share of the data) becomes
-    one row per chunk of copies, and those are spread round-robin over the
-    cluster before expansion, so no task emits more than ``chunk`` copies of
-    it. (Spark's own ``exceptAll`` expands each row in a single task.)
-    """
-    cols = left.columns
-    spark = left.sparkSession
-    tagged = left.withColumn("__v", F.lit(1)).unionByName(
-        right.toDF(*cols).withColumn("__v", F.lit(-1))
-    )
-    counted = tagged.groupBy(*cols).agg(F.sum("__v").alias("__n")).where(F.col("__n") > 0)
-    few = counted.where(F.col("__n") <= chunk)
-    pieces = (
-        counted.where(F.col("__n") > chunk)
-        .select(*cols, "__n", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / chunk))).alias("__c"))
-        .select(*cols, F.least(F.lit(chunk), F.col("__n") - F.col("__c") * chunk).alias("__n"))
-        # Explicit count: the pieces are tiny, and AQE would otherwise merge
-        # them back into one partition.
-        .repartition(spark.sparkContext.defaultParallelism)
-    )
-    both = few.unionByName(pieces)
-    return both.select(*cols, F.explode(F.array_repeat(F.lit(True), F.col("__n").cast("int")))).select(*cols)
+    """Distinct rows of ``left`` that are not in ``right`` (SQL EXCEPT)."""
+    return left.subtract(right)
+
+
+def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Multiset difference (SQL EXCEPT ALL): a row occurring ``a`` times in
+    ``left`` and ``b`` times in ``right`` is kept ``max(a - b, 0)`` times."""
+    return left.exceptAll(right)
 
 
 def dedup_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.plans import taxi
 from tessera.session import shared_path
@@ -34,6 +35,15 @@ def scan_csv_dropmalformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.trips_from_csv(spark, sf_dir, mode="DROPMALFORMED")
 
 
+def count_dropmalformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aggregates over the DROPMALFORMED reader that ask for few columns, or
+    none: they must see the records that a full read sees."""
+    trips = scan_csv_dropmalformed(spark, sf_dir)
+    return trips.agg(F.count(F.lit(1)).alias("n")).join(
+        trips.select("trip_id").agg(F.min("trip_id").alias("first_id"), F.max("trip_id").alias("last_id"))
+    )
+
+
 def convert_to_parquet(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Run the conversion job into a new folder; returns (trips, vendors)."""
     out = shared_path(spark, "parquet")
@@ -48,6 +58,12 @@ def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_parquet(spark, trips_path)
 
 
+def csv_to_parquet_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same conversion, the vendors read back."""
+    _, vendors_path = convert_to_parquet(spark, sf_dir)
+    return readers.read_parquet(spark, vendors_path)
+
+
 def hourly_avg_pickup_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 over the CSV input (PERMISSIVE: bad fields fail the filter)."""
     return taxi.hourly_avg_pickup(scan_csv(spark, sf_dir))

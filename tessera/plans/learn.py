@@ -13,12 +13,12 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import numbering, sampling, sets
 from tessera.plans import text
-from tessera.session import checkpoint_root
+from tessera.session import shared_path
 
 TRAIN_FRACTION = 0.8
 SPLIT_SEED = 10
@@ -46,25 +46,27 @@ def label_indexer(vectors: DataFrame) -> StringIndexerModel:
 class Dataset:
     labelled: DataFrame  # every document with a feature vector
     rows: DataFrame  # de-duplicated (label_f, label, features, features_key)
-    n_classes: int
+    labels: list[str]  # label_f by index
 
 
-def dataset(complaints: DataFrame, k: int = text.LEXICON_SIZE) -> Dataset:
-    """Feature vectors with label indices, and their de-duplicated rows.
+def feature_table(spark: SparkSession, complaints: DataFrame, k: int = text.LEXICON_SIZE) -> str:
+    """Write the feature vectors (one row per document) once to the shared
+    folder: indexer, split, every L-BFGS pass and the scoring read that table
+    instead of running the text pipeline again, and a lost executor re-reads
+    it. Returns the path."""
+    path = shared_path(spark, "features")
+    text.tfidf_vectors(complaints, k).write.parquet(path)
+    return path
 
-    The vectors (one row per document) are written once to the shared
-    checkpoint folder: the label indexer, the split, every L-BFGS pass of
-    the classifier and the scoring then read that table instead of
-    re-running the text pipeline, and a lost executor re-reads it rather
-    than recomputing the lineage.
-    """
-    checkpoint_root(complaints.sparkSession)
-    vectors = text.tfidf_vectors(complaints, k).checkpoint(eager=True)
+
+def dataset(vectors: DataFrame) -> Dataset:
+    """vectors: (doc_id, label_f, features, features_key). Adds label indices
+    and the de-duplicated rows."""
     model = label_indexer(vectors)
     labelled = model.transform(vectors)
     rows = sets.dedup_rows(labelled.select("label_f", "label", "features", "features_key"),
                            ["label_f", "label", "features_key"])
-    return Dataset(labelled, rows, len(model.labels))
+    return Dataset(labelled, rows, list(model.labels))
 
 
 def with_split(ds: Dataset) -> DataFrame:
@@ -76,25 +78,26 @@ def train_rows(ds: Dataset) -> DataFrame:
 
 
 def test_rows(ds: Dataset) -> DataFrame:
-    """All rows minus the training rows (EXCEPT DISTINCT)."""
-    return sets.except_distinct(ds.rows.select(*ROW), train_rows(ds).select(*ROW))
+    """The other rows: those are distinct, so this is all rows EXCEPT the
+    training rows."""
+    return with_split(ds).where(F.col("split") == "test").drop("split")
 
 
 # --- registered queries ----------------------------------------------------
 
-def label_index(complaints: DataFrame) -> DataFrame:
+def label_index(vectors: DataFrame) -> DataFrame:
     """(label_f, label, n): the index each label got and its frequency."""
-    ds = dataset(complaints)
+    ds = dataset(vectors)
     return ds.labelled.groupBy("label_f", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def dedup_rows(complaints: DataFrame) -> DataFrame:
-    return dataset(complaints).rows.select(*ROW)
+def dedup_rows(vectors: DataFrame) -> DataFrame:
+    return dataset(vectors).rows.select(*ROW)
 
 
-def class_counts(complaints: DataFrame) -> DataFrame:
+def class_counts(vectors: DataFrame) -> DataFrame:
     """(split, label_f, n) for the whole set and for each side of the split."""
-    split = with_split(dataset(complaints))
+    split = with_split(dataset(vectors))
     whole = split.groupBy("label_f").agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("all").alias("split"), "label_f", "n"
     )
@@ -102,31 +105,34 @@ def class_counts(complaints: DataFrame) -> DataFrame:
     return whole.unionByName(sides)
 
 
-def class_cardinality(complaints: DataFrame) -> DataFrame:
-    return dataset(complaints).rows.agg(F.count_distinct("label_f").alias("n_classes"))
+def class_cardinality(vectors: DataFrame) -> DataFrame:
+    return dataset(vectors).rows.agg(F.count_distinct("label_f").alias("n_classes"))
 
 
-def distinct_labels(complaints: DataFrame) -> DataFrame:
-    return sets.distinct_values(dataset(complaints).rows, ["label_f", "label"])
+def distinct_labels(vectors: DataFrame) -> DataFrame:
+    return sets.distinct_values(dataset(vectors).rows, ["label_f", "label"])
 
 
-def stratified_sample(complaints: DataFrame) -> DataFrame:
-    """``sampleBy`` rule: each row kept with probability 0.8 of its label."""
-    rows = dataset(complaints).rows
-    return sampling.stratified_sample(rows, "label", TRAIN_FRACTION, SPLIT_SEED).select(*ROW)
+def stratified_sample(vectors: DataFrame) -> DataFrame:
+    """``sampleBy`` with a fraction of 0.8 for every label."""
+    ds = dataset(vectors)
+    fractions = {float(i): TRAIN_FRACTION for i in range(len(ds.labels))}
+    return sampling.stratified_sample(ds.rows, "label", fractions, SPLIT_SEED).select(*ROW)
 
 
-def stratified_split_hash(complaints: DataFrame) -> DataFrame:
-    return with_split(dataset(complaints)).select(*ROW, "split")
+def stratified_split_hash(vectors: DataFrame) -> DataFrame:
+    return with_split(dataset(vectors)).select(*ROW, "split")
 
 
-def except_distinct(complaints: DataFrame) -> DataFrame:
-    return test_rows(dataset(complaints))
+def except_distinct(vectors: DataFrame) -> DataFrame:
+    """All distinct rows EXCEPT the training rows."""
+    ds = dataset(vectors)
+    return sets.except_distinct(ds.rows.select(*ROW), train_rows(ds).select(*ROW))
 
 
-def except_all(complaints: DataFrame) -> DataFrame:
+def except_all(vectors: DataFrame) -> DataFrame:
     """Every document row (duplicates kept) minus the training rows."""
-    ds = dataset(complaints)
+    ds = dataset(vectors)
     return sets.except_all(ds.labelled.select(*ROW), train_rows(ds).select(*ROW))
 
 
@@ -157,17 +163,16 @@ def train_mlp(train: DataFrame, n_features: int, n_classes: int, cache: bool = T
             train.unpersist()
 
 
-def mlp_predictions(complaints: DataFrame, cache: bool = True, max_iter: int = MAX_ITER) -> DataFrame:
+def mlp_predictions(vectors: DataFrame, cache: bool = True, max_iter: int = MAX_ITER) -> DataFrame:
     """(label_f, label, prediction) for the test rows."""
-    ds = dataset(complaints)
-    model = train_mlp(train_rows(ds), text.LEXICON_SIZE, ds.n_classes, cache, max_iter)
-    test = ds.rows.join(test_rows(ds), ROW, "left_semi")
-    return model.transform(test).select("label_f", "label", "prediction")
+    ds = dataset(vectors)
+    model = train_mlp(train_rows(ds), text.LEXICON_SIZE, len(ds.labels), cache, max_iter)
+    return model.transform(test_rows(ds)).select("label_f", "label", "prediction")
 
 
-def mlp_accuracy(complaints: DataFrame, cache: bool = True, max_iter: int = MAX_ITER) -> DataFrame:
+def mlp_accuracy(vectors: DataFrame, cache: bool = True, max_iter: int = MAX_ITER) -> DataFrame:
     """One row: accuracy on the test rows and their count."""
-    pred = mlp_predictions(complaints, cache, max_iter)
+    pred = mlp_predictions(vectors, cache, max_iter)
     return pred.agg(
         F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
         F.count(F.lit(1)).alias("n_test"),

@@ -180,6 +180,9 @@ INGEST = {
     "scan_csv": with_ctes(TRIPS, TRIPS_CSV, body=f"SELECT {COLS8} FROM trips_csv"),
     "scan_csv_dropmalformed": with_ctes(
         TRIPS, TRIPS_CSV, body=f"SELECT {COLS8} FROM trips_csv WHERE NOT malformed"),
+    "count_dropmalformed": with_ctes(TRIPS, TRIPS_CSV, body="""
+SELECT count(*) AS n, min(trip_id) AS first_id, max(trip_id) AS last_id FROM trips_csv WHERE NOT malformed"""),
+    "csv_to_parquet_vendors": with_ctes(VENDORS, body="SELECT trip_id, vendor_id FROM vendors"),
     "csv_to_parquet": with_ctes(
         TRIPS, TRIPS_CSV, body=f"SELECT {COLS8} FROM trips_csv WHERE NOT malformed"),
     "longest_trip_csv": with_ctes(TRIPS, TRIPS_CSV, VENDORS, f"""joined AS (
@@ -290,6 +293,18 @@ TEXT = {
 }
 
 
+# The same chain over records read from text lines: line breaks are spaces and
+# the id is the MD5 of the line.
+_FILE_CHAIN = [
+    COMPLAINTS.replace("complaints AS", "raw_complaints AS"),
+    "complaints AS (SELECT md5(l) AS doc_id, l AS line FROM "
+    "(SELECT translate(line, chr(10) || chr(13), '  ') AS l FROM raw_complaints))",
+    *TEXT_CHAIN[1:],
+]
+TEXT["valid_records_file"] = with_ctes(*_FILE_CHAIN[:3], body="SELECT doc_id, label, comment FROM valid")
+TEXT["word_count_file"] = with_ctes(*_FILE_CHAIN[:7], body="SELECT word, n FROM word_count")
+
+
 LABELLED = """labelled AS (
   SELECT v.doc_id, v.label_f, li.label, v.features_key
   FROM vectors v JOIN (

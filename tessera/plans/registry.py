@@ -25,6 +25,15 @@ def _on_complaints(fn) -> Query:
     return lambda spark, sf_dir: fn(fx.complaints(spark, sf_dir))
 
 
+def _on_vectors(fn) -> Query:
+    return lambda spark, sf_dir: fn(spark.read.parquet(features_path(spark, sf_dir)))
+
+
+def features_path(spark: SparkSession, sf_dir: str) -> str:
+    """The feature table of a data set, written once per application."""
+    return fx.written(spark, sf_dir, "features", lambda: learn.feature_table(spark, fx.complaints(spark, sf_dir)))
+
+
 def _rounded(fn, column: str, decimals: int = 6):
     return lambda c: fn(c).withColumn(column, F.round(column, decimals))
 
@@ -64,13 +73,17 @@ QUERIES: dict[str, Query] = {
     "parse_delimited": ingest.parse_delimited,
     "scan_csv": ingest.scan_csv,
     "scan_csv_dropmalformed": ingest.scan_csv_dropmalformed,
+    "count_dropmalformed": ingest.count_dropmalformed,
     "csv_to_parquet": ingest.csv_to_parquet,
+    "csv_to_parquet_vendors": ingest.csv_to_parquet_vendors,
     "hourly_avg_pickup_csv": ingest.hourly_avg_pickup_csv,
     "hourly_avg_pickup_text": ingest.hourly_avg_pickup_text,
     "longest_trip_csv": ingest.longest_trip_csv,
     "longest_trip_bucketed": ingest.longest_trip_bucketed,
     "longest_trip_argmax_text": ingest.longest_trip_argmax_text,
     # text features
+    "valid_records_file": lambda spark, d: text.valid_records(fx.complaints_from_text(spark, d)),
+    "word_count_file": lambda spark, d: text.word_count(fx.complaints_from_text(spark, d)),
     "filter_valid_records": _on_complaints(text.valid_records),
     "clean_text": _on_complaints(text.cleaned),
     "tokenize_explode": _on_complaints(text.tokens),
@@ -86,18 +99,18 @@ QUERIES: dict[str, Query] = {
     "tfidf": _on_complaints(_rounded(text.tfidf, "weight")),
     "tfidf_sparse": _on_complaints(text.tfidf_sparse),
     # labels, splits, set operations, classifier
-    "label_index": _on_complaints(learn.label_index),
-    "dedup_rows": _on_complaints(learn.dedup_rows),
-    "class_counts": _on_complaints(learn.class_counts),
-    "class_cardinality": _on_complaints(learn.class_cardinality),
-    "distinct_labels": _on_complaints(learn.distinct_labels),
-    "stratified_sample": _on_complaints(learn.stratified_sample),
-    "stratified_split_hash": _on_complaints(learn.stratified_split_hash),
-    "except_distinct": _on_complaints(learn.except_distinct),
-    "except_all": _on_complaints(learn.except_all),
+    "label_index": _on_vectors(learn.label_index),
+    "dedup_rows": _on_vectors(learn.dedup_rows),
+    "class_counts": _on_vectors(learn.class_counts),
+    "class_cardinality": _on_vectors(learn.class_cardinality),
+    "distinct_labels": _on_vectors(learn.distinct_labels),
+    "stratified_sample": _on_vectors(learn.stratified_sample),
+    "stratified_split_hash": _on_vectors(learn.stratified_split_hash),
+    "except_distinct": _on_vectors(learn.except_distinct),
+    "except_all": _on_vectors(learn.except_all),
     "number_rows": _on_complaints(learn.number_rows),
-    "mlp_train_predict": _on_complaints(learn.mlp_predictions),
-    "mlp_accuracy": _on_complaints(learn.mlp_accuracy),
+    "mlp_train_predict": _on_vectors(learn.mlp_predictions),
+    "mlp_accuracy": _on_vectors(learn.mlp_accuracy),
     # streaming forms
     "hourly_avg_pickup_stream": streams.hourly_avg_pickup_stream,
     "longest_trip_stream": streams.longest_trip_stream,

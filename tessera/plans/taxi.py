@@ -8,8 +8,6 @@ Inputs are the ``trips`` and ``vendors`` DataFrames (see
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,15 +47,13 @@ def hourly_avg_pickup(trips: DataFrame) -> DataFrame:
     """Mean pick-up longitude/latitude per start hour over clean trips.
 
     24 groups: the partial aggregate leaves at most 24 rows per map task, so
-    the shuffle is tiny whatever the input size or skew, and the 24-row
-    result is sorted in one partition.
+    the shuffle is tiny whatever the input size or skew.
     """
     return groups.avg_by(
         trips.where(clean_trip()),
         hour_of("trip_start_time"),
         {"avg_start_long": "trip_start_long", "avg_start_lat": "trip_start_lat"},
         key_name="start_hour",
-        max_groups=24,
     )
 
 
@@ -118,7 +114,7 @@ def _trips_with_vendor(trips: DataFrame, vendors: DataFrame, kind: str) -> DataF
 
 def longest_trip_argmax(trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> DataFrame:
     """One longest clean trip per vendor; ties go to the longer duration,
-    then the larger trip_id. One aggregation, partial per map task."""
+    then the larger trip_id. Each map task keeps one row per vendor."""
     joined = _trips_with_vendor(trips.where(clean_trip()), vendors, kind)
     best = groups.argmax_by(joined, "vendor_id", "distance", ties="one", tie_break=["duration", "trip_id"])
     return best.orderBy("vendor_id")
@@ -126,79 +122,41 @@ def longest_trip_argmax(trips: DataFrame, vendors: DataFrame, kind: str = "compa
 
 def longest_trip_window(trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> DataFrame:
     """Every in-box trip whose distance equals its vendor's maximum (ties
-    kept). Equivalent to ``max(distance) over (partition by vendor_id)``
-    followed by a filter, without sending a vendor's rows to one task.
-
-    Late materialisation: the arg-max runs on (trip_id, distance, vendor_id)
-    only, so its aggregate branch and its row branch need the same columns
-    and share the trips and vendors shuffles. The duration is then computed
-    for the winning trips alone: they are materialised, counted, and (within
-    the bound) broadcast into one more column-pruned scan of the trips.
-    Winners are matched back on (trip_id, distance), so trips sharing an id
-    keep their own durations; the vendor table is a mapping and must not
-    repeat a (trip_id, vendor_id) row.
+    kept, also those of repeated trip or vendor rows). Equivalent to
+    ``max(distance) over (partition by vendor_id)`` and a filter, but each
+    task keeps only its own best trips per vendor before the shuffle by
+    vendor. One scan of the trips; nothing runs while the plan is built.
     """
-    in_box_trips = trips.where(in_box())
-    distances = in_box_trips.select("trip_id", distance(kind).alias("distance"))
-    joined = distances.join(vendors, "trip_id", "inner")
-    domain = vendors.select("vendor_id")
-    winners = groups.argmax_by(joined, "vendor_id", "distance", ties="all", key_domain=domain).distinct()
-    winners = groups.bounded_broadcast(winners, None, ["trip_id"])
-    durations = in_box_trips.select("trip_id", distance(kind).alias("distance"), duration().alias("duration"))
-    return durations.join(winners, ["trip_id", "distance"], "inner").select(
-        "vendor_id", "trip_id", "distance", "duration"
-    )
+    joined = _trips_with_vendor(trips.where(in_box()), vendors, kind)
+    return groups.argmax_by(joined, "vendor_id", "distance", ties="all")
 
 
 def window_max(trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> DataFrame:
     """Each in-box trip with its vendor's maximum distance."""
     joined = _trips_with_vendor(trips.where(in_box()), vendors, kind)
-    domain = vendors.select("vendor_id")
-    return groups.with_group_max(joined, "vendor_id", "distance", "max_distance", key_domain=domain)
-
+    return groups.with_group_max(joined, "vendor_id", "distance", "max_distance")
 
-VENDOR_MAX_SQL = """
-SELECT vendor_id, max(distance) AS max_distance
-FROM {rows}
-WHERE distance IS NOT NULL
-GROUP BY vendor_id
-"""
-
-WINNERS_SQL = """
-SELECT DISTINCT r.vendor_id, r.trip_id, r.distance
-FROM {rows} r
-JOIN {best} b ON r.vendor_id = b.vendor_id AND r.distance = b.max_distance
-"""
 
 LONGEST_TRIP_SQL = """
-SELECT w.vendor_id, w.trip_id, w.distance, d.duration
-FROM {winners} w
-JOIN {durations} d ON w.trip_id = d.trip_id AND w.distance = d.distance
+SELECT vendor_id, trip_id, distance, duration
+FROM (
+  SELECT v.vendor_id, m.trip_id, m.distance, m.duration,
+         rank() OVER (PARTITION BY v.vendor_id ORDER BY m.distance DESC) AS place
+  FROM {metrics} m
+  JOIN {vendors} v ON m.trip_id = v.trip_id
+  WHERE m.distance IS NOT NULL
+)
+WHERE place = 1
 """
 
 
 def longest_trip_sql(spark: SparkSession, trips: DataFrame, vendors: DataFrame, kind: str = "compat") -> DataFrame:
-    """Q2 written in SQL over registered temp views, with the same plan as
-    ``longest_trip_window``.
-
-    Between the statements the per-vendor maxima are checked against their
-    bound (distinct vendors) and the winners against an exact count, and
-    each is marked for broadcast: the trips are joined with vendors once
-    per branch on shared shuffles, never shuffled by vendor, and durations
-    are computed for the winners only. View names are unique per call.
-    """
-    tag = uuid.uuid4().hex[:12]
-    rows, best = f"tessera_vendor_trips_{tag}", f"tessera_vendor_best_{tag}"
-    winners, durations = f"tessera_winners_{tag}", f"tessera_durations_{tag}"
-    in_box_trips = trips.where(in_box())
-    distances = in_box_trips.select("trip_id", distance(kind).alias("distance"))
-    distances.join(vendors, "trip_id", "inner").createOrReplaceTempView(rows)
-    in_box_trips.select("trip_id", distance(kind).alias("distance"), duration().alias("duration")).createOrReplaceTempView(durations)
-    per_vendor = spark.sql(VENDOR_MAX_SQL.format(rows=rows))
-    groups.bounded_broadcast(per_vendor, vendors.select("vendor_id"), ["vendor_id"]).createOrReplaceTempView(best)
-    found = spark.sql(WINNERS_SQL.format(rows=rows, best=best))
-    groups.bounded_broadcast(found, None, ["trip_id"]).createOrReplaceTempView(winners)
-    return spark.sql(LONGEST_TRIP_SQL.format(winners=winners, durations=durations))
+    """Q2 in SQL over temp views, with the plan of ``longest_trip_window``.
+    The views live only as long as the statement is analysed."""
+    metrics = trips.where(in_box()).select(
+        "trip_id", distance(kind).alias("distance"), duration().alias("duration")
+    )
+    return spark.sql(LONGEST_TRIP_SQL, metrics=metrics, vendors=vendors)
 
 
 # --- joins -----------------------------------------------------------------

@@ -6,24 +6,23 @@ Every step is a DataFrame transformation over the complete texts:
       -> valid records (exactly 3 fields, comment present, date "201...")
       -> cleaned text -> tokens (posexplode, one row per word)
       -> word counts without stop words -> lexicon (top 50, ties by word)
-      -> lexicon tokens (broadcast join with the <= 50-row lexicon)
-      -> tf per (doc, word) -> df per word -> idf = ln(N / df)
+      -> per record: tf of its lexicon words, inside the row
+      -> df per word -> idf = ln(N / df)
       -> double-normalised tf (0.5 + 0.5 tf / max tf of the doc)
       -> weight = tf_norm * idf -> one 50-wide feature vector per document
 
 N counts every valid record, also those without any lexicon word; those
-documents then have no feature row. Group sizes are bounded: per-document
-groups hold at most ``lexicon_size`` rows after the partial aggregation.
-
-The texts are read twice. Pass 1 counts words (plus one marker per record
-for N) keyed by the word alone; pass 2 keeps only lexicon words before the
-per-document aggregation. Neither shuffles a row per (document, word) pair
-of the whole vocabulary, which would be several times the size of the
-texts themselves.
+documents then have no feature row.
+
+A document is one row, so tf, max tf, weights and the vector need no shuffle:
+only word counts (one row per distinct word and task) and document
+frequencies (k rows per task) are aggregated across the cluster. The lexicon
+and the idf values, k entries each, reach the rows as scalar subqueries.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,95 +124,132 @@ def lexicon_tokens(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     )
 
 
-def term_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(doc_id, label, word, idx, tf) for the lexicon words.
+def _lexicon_value(complaints: DataFrame, k: int):
+    """The ranked lexicon as one value (a scalar subquery): ``words``, at most
+    k of them by idx, and ``n_records``. k is the user's bound on the
+    vocabulary, meant for tens to a few thousand words."""
+    by_idx = F.array_sort(F.collect_list(F.struct("idx", "word")))
+    words_only = F.transform(by_idx, lambda e: e["word"])
+    return _ranked(complaints, k).agg(F.struct(words_only.alias("words"), F.max("n_records").alias("n_records"))).scalar()
+
 
-    Pass 2 over the texts: tokens are matched against the broadcast lexicon
-    first, so only lexicon words reach the per-document aggregation and
-    its shuffle. Partial aggregation per task, so a huge document never
-    lands whole in one task.
+def _counts(complaints: DataFrame, k: int) -> DataFrame:
+    """(doc_id, label, counts, max_tf) of the records with a lexicon word:
+    counts[idx] is the term frequency, 0 for words that are not there.
+
+    Counted inside the row: its lexicon words are joined into one string with
+    a bar on both sides of every word, and the occurrences of a word are what
+    removing it shortens. Nothing is shuffled. The one-element arrays bind the
+    string and the counts to a name, so that each is made once per record; the
+    explode drops records without a lexicon word.
     """
-    lex = lexicon(complaints, k).select("word", "idx")
-    return marked_tokens(complaints).join(F.broadcast(lex), "word").groupBy(
-        "doc_id", "label", "word", "idx"
-    ).agg(F.count(F.lit(1)).alias("tf"))
 
+    def tf(bars, word):
+        mark = F.concat(F.lit("|"), word, F.lit("|"))
+        return ((F.length(bars) - F.length(F.replace(bars, mark, F.lit("")))) / F.length(mark)).cast("bigint")
+
+    known = cleaned(complaints).withColumn("lex", _lexicon_value(complaints, k)["words"])
+    kept = F.filter(words("clean"), lambda w: F.array_contains("lex", w))
+    bars = F.array(F.concat(F.lit("|"), F.array_join(kept, "||"), F.lit("|")))
+    counted = F.transform(bars, lambda b: F.transform("lex", lambda w: tf(b, w)))
+    found = known.select("doc_id", "label", F.explode(F.filter(counted, lambda c: F.array_max(c) > 0)).alias("counts"))
+    return found.select("*", F.array_max("counts").alias("max_tf"))
 
-def document_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(word, df): number of documents containing the lexicon word.
 
-    Counted as ``count_if(tf > 0)`` (every tf is at least 1): referring to
-    tf keeps Catalyst from pruning it and turning this branch's tf
-    aggregate into a bare distinct, so the tf aggregate stays identical to
-    the one the weights use and a plan needing both shares its shuffle."""
-    return term_frequency(complaints, k).groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
+def _entries(rows: DataFrame, values: str, complaints: DataFrame, k: int, name: str) -> DataFrame:
+    """(doc_id, label, word, idx, <name>) of the lexicon words present."""
+    present = rows.select(
+        "doc_id", "label", F.posexplode(F.arrays_zip("counts", values)).alias("idx", "e")
+    ).where(F.col("e.counts") > 0)
+    word = F.element_at(_lexicon_value(complaints, k)["words"], F.col("idx") + 1)
+    return present.select("doc_id", "label", word.alias("word"), "idx", F.col(f"e.{values}").alias(name))
 
 
-def n_records(complaints: DataFrame):
-    """N, the number of valid records, as a scalar-subquery Column."""
-    return valid_records(complaints).select(F.count(F.lit(1))).scalar()
+def term_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
+    """(doc_id, label, word, idx, tf) for the lexicon words; no shuffle of
+    documents or words."""
+    rows = _counts(complaints, k).withColumn("tf", F.col("counts"))
+    return _entries(rows, "tf", complaints, k, "tf")
+
+
+def _frequencies(complaints: DataFrame, k: int) -> DataFrame:
+    """(idx, df): at most k rows, also per task before the shuffle."""
+    rows = _counts(complaints, k).select(F.posexplode("counts").alias("idx", "tf")).where("tf > 0")
+    return rows.groupBy("idx").agg(F.count(F.lit(1)).alias("df"))
+
+
+def document_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
+    """(word, df): number of documents containing the lexicon word."""
+    word = F.element_at(_lexicon_value(complaints, k)["words"], F.col("idx") + 1)
+    return _frequencies(complaints, k).select(word.alias("word"), "df")
 
 
 def idf(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(word, idf) with idf = ln(N / df); at most k rows."""
-    totals = _ranked(complaints, k).select("word", "n_records")
-    return document_frequency(complaints, k).join(F.broadcast(totals), "word").select(
-        "word", F.log(F.col("n_records") / F.col("df")).alias("idf")
+    lex = _lexicon_value(complaints, k)
+    return _frequencies(complaints, k).select(
+        F.element_at(lex["words"], F.col("idx") + 1).alias("word"), F.log(lex["n_records"] / F.col("df")).alias("idf")
     )
 
 
 def _normalised(complaints: DataFrame, k: int) -> DataFrame:
-    # The window partition is one document's lexicon words: <= k rows.
-    doc = Window.partitionBy("doc_id")
-    norm = F.lit(0.5) + F.lit(0.5) * F.col("tf") / F.max("tf").over(doc)
-    return term_frequency(complaints, k).withColumn("tf_norm", norm)
+    """``_counts`` with tf_norm[idx] = 0.5 + 0.5 tf / max tf of the document."""
+    norm = F.transform("counts", lambda tf: F.lit(0.5) + F.lit(0.5) * tf / F.col("max_tf"))
+    return _counts(complaints, k).withColumn("tf_norm", norm)
 
 
 def tf_double_norm(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(doc_id, label, word, idx, tf_norm) = 0.5 + 0.5 tf / max tf of the doc."""
-    return _normalised(complaints, k).select("doc_id", "label", "word", "idx", "tf_norm")
+    return _entries(_normalised(complaints, k), "tf_norm", complaints, k, "tf_norm")
+
+
+def _weighted(complaints: DataFrame, k: int) -> DataFrame:
+    """``_counts`` with weight[idx] = tf_norm * idf, 0 for absent words. The
+    idf values are a second scalar subquery, of at most k numbers by idx."""
+    n = _lexicon_value(complaints, k)["n_records"]
+    by_idx = F.array_sort(F.collect_list(F.struct("idx", "idf")))
+    with_idf = _frequencies(complaints, k).withColumn("idf", F.log(n / F.col("df")))
+    idfs = with_idf.agg(F.transform(by_idx, lambda e: e["idf"])).scalar()
+    rows = _counts(complaints, k).withColumn("idf", idfs)
+    weight = F.zip_with(
+        "counts",
+        "idf",
+        lambda tf, w: F.when(tf > 0, (F.lit(0.5) + F.lit(0.5) * tf / F.col("max_tf")) * w).otherwise(F.lit(0.0)),
+    )
+    return rows.withColumn("weight", weight)
 
 
 def tfidf(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
-    """(doc_id, label, idx, word, weight = tf_norm * idf); idf has <= k rows."""
-    weights = _normalised(complaints, k).join(F.broadcast(idf(complaints, k)), "word")
-    return weights.select(
-        "doc_id", "label", "idx", "word", (F.col("tf_norm") * F.col("idf")).alias("weight")
-    )
+    """(doc_id, label, idx, word, weight = tf_norm * idf)."""
+    rows = _entries(_weighted(complaints, k), "weight", complaints, k, "weight")
+    return rows.select("doc_id", "label", "idx", "word", "weight")
 
 
 def tfidf_vectors(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """One row per document with a lexicon word:
     (doc_id, label_f, features: k-wide vector, features_key).
 
-    Entries are gathered per document (<= k of them), sorted by index, and
-    laid out densely; ``features_key`` spells the entries as
-    "idx:round(weight * 1e6)" for exact comparisons and hashing.
+    The weights are already laid out by idx in the row; ``VectorAssembler``
+    stores them sparse where that is smaller. ``features_key`` spells the
+    words present as "idx:round(weight * 1e6)" for exact comparisons.
     """
-    entries = tfidf(complaints, k).groupBy("doc_id", "label").agg(
-        F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("entries")
-    )
-    by_idx = F.map_from_entries("entries")
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(by_idx[i], F.lit(0.0))
-    )
-    key = F.concat_ws(
-        " ",
-        F.transform(
-            "entries",
-            lambda e: F.concat(
-                e["idx"].cast("string"),
-                F.lit(":"),
-                F.round(e["weight"] * F.lit(1e6)).cast("bigint").cast("string"),
-            ),
+    # A lexicon shorter than k leaves zeros at the end.
+    dense = F.concat("weight", F.array_repeat(F.lit(0.0), F.lit(k) - F.size("weight")))
+    spelled = F.transform(
+        F.arrays_zip("counts", "weight"),
+        lambda e, i: F.when(
+            e["counts"] > 0,
+            F.concat(i.cast("string"), F.lit(":"), F.round(e["weight"] * F.lit(1e6)).cast("bigint").cast("string")),
         ),
     )
-    return entries.select(
+    rows = _weighted(complaints, k).select(
         "doc_id",
         F.col("label").alias("label_f"),
-        array_to_vector(dense).alias("features"),
-        key.alias("features_key"),
+        array_to_vector(dense).alias("dense"),
+        F.array_join(spelled, " ").alias("features_key"),
     )
+    assembled = VectorAssembler(inputCols=["dense"], outputCol="features").transform(rows)
+    return assembled.select("doc_id", "label_f", "features", "features_key")
 
 
 def tfidf_sparse(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:

@@ -79,6 +79,39 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Scratch folders and tables handed out per application, until released.
+_handed_out: dict[str, set[str]] = {}
+_tables: dict[str, set[str]] = {}
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/tessera/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/tessera/{label}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def is_live(spark: SparkSession, path: str) -> bool:
+    """Whether a scratch path has been handed out and not been released."""
+    return path in _handed_out.get(spark.sparkContext.applicationId, ())
+
+
+def own_table(spark: SparkSession, name: str) -> str:
+    """Remember a catalog table, to be dropped by ``release``."""
+    _tables.setdefault(spark.sparkContext.applicationId, set()).add(name)
+    return name
+
+
+def release(spark: SparkSession) -> int:
+    """Drop this application's scratch tables and delete its scratch folders
+    (those of ``shared_path``, nothing else); returns how many. Call it when
+    the results read from them are no longer needed."""
+    app = spark.sparkContext.applicationId
+    for name in _tables.pop(app, ()):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    paths = _handed_out.pop(app, set())
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)

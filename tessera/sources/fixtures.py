@@ -18,7 +18,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import shared_path
+from tessera.session import is_live, shared_path
 from tessera.sources import readers, schemas, sinks
 from tessera.sources.tables import spread, table
 
@@ -113,20 +113,38 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", line.alias("line"))
 
 
-# CSV renderings are written once per (application, folder) and reused.
+def complaint_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complaint records as text lines (column ``value``); line breaks inside a
+    comment become spaces, so that a record is one line."""
+    flat = F.translate("line", "\n\r", "  ")
+    return complaints(spark, sf_dir).select(flat.alias("value"))
+
+
+# Files rendered from the tables are written once per (application, folder)
+# and reused until they are released.
 _written: dict[tuple[str, str, str], str] = {}
 _lock = threading.Lock()
 
 
-def _materialize(spark: SparkSession, sf_dir: str, kind: str, lines: DataFrame) -> str:
+def written(spark: SparkSession, sf_dir: str, kind: str, make) -> str:
+    """The path ``make()`` returned the first time it was asked for."""
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     with _lock:
-        path = _written.get(key)
-        if path is None:
-            path = shared_path(spark, f"{kind}-csv")
-            sinks.write_text(lines, path)
-            _written[key] = path
-    return path
+        if key not in _written or not is_live(spark, _written[key]):
+            _written[key] = make()
+        return _written[key]
+
+
+def _materialize(spark: SparkSession, sf_dir: str, kind: str, lines: DataFrame) -> str:
+    return written(spark, sf_dir, kind, lambda: sinks.write_text(lines, shared_path(spark, f"{kind}-csv")))
+
+
+def complaints_text_path(spark: SparkSession, sf_dir: str) -> str:
+    return _materialize(spark, sf_dir, "complaints", complaint_lines(spark, sf_dir))
+
+
+def complaints_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_complaints(spark, complaints_text_path(spark, sf_dir))
 
 
 def trips_csv_path(spark: SparkSession, sf_dir: str) -> str:

@@ -31,11 +31,13 @@ def read_csv(
     """CSV with a declared schema (never inferred: inference is an extra pass).
 
     PERMISSIVE turns unparsable fields into NULL, DROPMALFORMED drops the
-    record, FAILFAST stops the job.
+    record (see ``_well_formed``), FAILFAST stops the job.
     """
     mode = mode.upper()
     if mode not in READ_MODES:
         raise ValueError(f"mode must be one of {READ_MODES}")
+    if mode == "DROPMALFORMED":
+        return _well_formed(read_text(spark, path), schema, header, timestamp_format)
     return (
         spark.read.schema(schema)
         .option("header", header)
@@ -46,6 +48,43 @@ def read_csv(
     )
 
 
+def _well_formed(lines: DataFrame, schema: T.StructType, header: bool, timestamp_format: str) -> DataFrame:
+    """The records of CSV lines in which every field parses and the field count
+    is right.
+
+    The CSV source's own DROPMALFORMED converts only the columns a query asks
+    for, so which records it drops changes with the projection. Here a record
+    is parsed whole by ``from_csv`` with a corrupt-record field, and kept if that
+    is empty: any count, projection or filter on top sees the same records.
+    Records are single lines.
+    """
+    bad = "_malformed"
+    while bad in schema.names:
+        bad += "_"
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": bad,
+        "timestampNTZFormat": timestamp_format,
+        "timestampFormat": timestamp_format,
+    }
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    full = f"{ddl}, `{bad}` string"
+    records = lines.where(F.trim("value") != "")
+    if header:
+        records = records.where(F.col("value") != ",".join(schema.names))
+    parsed = records.select(F.from_csv("value", full, options).alias("r"))
+    return parsed.where(F.col("r").getField(bad).isNull()).select(
+        *[F.col("r").getField(f.name).alias(f.name) for f in schema.fields]
+    )
+
+
+def read_complaints(spark: SparkSession, path: str) -> DataFrame:
+    """Complaint files, one record per line: (doc_id, line). The id is the MD5
+    of the line, so it does not depend on splits or file order; repeated lines
+    share it."""
+    return read_text(spark, path).select(F.md5("value").alias("doc_id"), F.col("value").alias("line"))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet; the schema comes from the file footers."""
     return spark.read.parquet(path)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.session import own_table
 from tessera.sources import readers, schemas
 
 
@@ -76,7 +77,7 @@ def write_bucketed_table(
         .option("path", path)
         .saveAsTable(name)
     )
-    return name
+    return own_table(df.sparkSession, name)
 
 
 def csv_to_bucketed_tables(

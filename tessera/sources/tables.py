@@ -18,20 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Session setting: number of partitions that text records are dealt into
+#: before CPU-heavy work, for inputs in few unsplittable files. Unset (the
+#: default) leaves the scan's splits as they are.
+TEXT_PARTITIONS = "spark.tessera.textPartitions"
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan over the cluster's cores when it yields fewer splits
-    than there are cores (a file written as one big row group, an
-    unsplittable file). Meant for CPU-heavy work such as text processing;
-    a large input already has many splits and passes through unchanged.
-
-    Rows are hash-partitioned on ``xxhash64(keys)`` (no sort, unlike
-    round-robin). Partitioning on an expression rather than on the key
-    columns themselves leaves later aggregations on those keys with their
-    own shuffle, which the plans share between branches, so the heavy
-    per-row work above the scan still runs once. ``repartition(n)`` keeps
-    its n partitions (AQE does not merge them).
+    """Deal rows into ``TEXT_PARTITIONS`` hash partitions if that is set.
+
+    An explicit choice of the user, never one made from measured sizes: the
+    plan is the same on every cluster. Partitioning on ``xxhash64(keys)``
+    rather than the keys leaves later aggregations their own shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    n = df.sparkSession.conf.get(TEXT_PARTITIONS, None)
+    if not n:
         return df
-    return df.repartition(cores, F.xxhash64(*keys)) if keys else df.repartition(cores)
+    return df.repartition(int(n), F.xxhash64(*keys)) if keys else df.repartition(int(n))

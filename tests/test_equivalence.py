@@ -6,7 +6,8 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tessera.operators import groups, numbering, sets
+from tessera.operators import groups, numbering
+from tessera.plans import taxi
 
 keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))
 values = st.one_of(st.none(), st.integers(0, 4).map(float))
@@ -22,11 +23,10 @@ def _sorted(df):
 
 
 @FEW
-@given(rows, st.booleans())
-def test_argmax_all_equals_window(spark, data, with_domain):
+@given(rows)
+def test_argmax_all_equals_window(spark, data):
     df = spark.createDataFrame(data, SCHEMA)
-    domain = df.select("k") if with_domain else None
-    ours = groups.argmax_by(df, "k", "v", ties="all", key_domain=domain)
+    ours = groups.argmax_by(df, "k", "v", ties="all")
     w = Window.partitionBy("k")
     ref = df.withColumn("m", F.max("v").over(w)).where(F.col("v") == F.col("m")).drop("m")
     assert _sorted(ours) == _sorted(ref)
@@ -36,11 +36,33 @@ def test_argmax_all_equals_window(spark, data, with_domain):
 @given(rows)
 def test_group_max_equals_window(spark, data):
     df = spark.createDataFrame(data, SCHEMA)
-    ours = groups.with_group_max(df, "k", "v", "m", key_domain=df.select("k"))
+    ours = groups.with_group_max(df, "k", "v", "m")
     ref = df.withColumn("m", F.max("v").over(Window.partitionBy("k")))
     assert _sorted(ours) == _sorted(ref)
 
 
+@FEW
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3)), min_size=1, max_size=12),
+       st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["1", "2"])), min_size=1, max_size=12))
+def test_longest_trip_forms_equal_plain_window_with_repeats(spark, trip_rows, vendor_rows):
+    """Repeated trips and repeated vendor rows keep all their rows."""
+    base = spark.createDataFrame(trip_rows, "id int, x int")
+    trips = base.selectExpr(
+        "cast(id as string) AS trip_id",
+        "timestamp_ntz'2015-03-10 06:00:00' AS trip_start_time",
+        "timestamp_ntz'2015-03-10 06:10:00' + make_dt_interval(0, 0, x, 0) AS trip_end_time",
+        "cast(-73.9 as double) AS trip_start_long", "cast(40.7 as double) AS trip_start_lat",
+        "cast(-73.9 + x / 100.0 as double) AS trip_end_long", "cast(40.8 as double) AS trip_end_lat",
+        "cast(1 as double) AS trip_cost",
+    )
+    vendors = spark.createDataFrame([(str(i), v) for i, v in vendor_rows], "trip_id string, vendor_id string")
+    joined = taxi._trips_with_vendor(trips, vendors, "compat")
+    w = Window.partitionBy("vendor_id")
+    ref = joined.withColumn("m", F.max("distance").over(w)).where("distance = m").drop("m")
+    assert _sorted(taxi.longest_trip_window(trips, vendors)) == _sorted(ref)
+    assert _sorted(taxi.longest_trip_sql(spark, trips, vendors)) == _sorted(ref)
+
+
 @FEW
 @given(rows)
 def test_argmax_one_equals_first_by_order(spark, data):
@@ -52,18 +74,6 @@ def test_argmax_one_equals_first_by_order(spark, data):
     assert _sorted(ours) == _sorted(ref)
 
 
-small = st.lists(st.tuples(keys, st.integers(0, 2)), max_size=30)
-
-
-@FEW
-@given(small, small, st.integers(1, 3))
-def test_set_operations_equal_builtins(spark, a, b, chunk):
-    left = spark.createDataFrame(a, "k string, x int")
-    right = spark.createDataFrame(b, "k string, x int")
-    assert _sorted(sets.except_all(left, right, chunk=chunk)) == _sorted(left.exceptAll(right))
-    assert _sorted(sets.except_distinct(left, right)) == _sorted(left.subtract(right))
-
-
 @FEW
 @given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 10**6)), min_size=1, max_size=40), st.integers(1, 5))
 def test_number_rows_is_a_dense_ranking(spark, data, parts):

@@ -4,20 +4,33 @@ import pytest
 
 import __spark_entry__ as entry
 from tessera.plans import learn
+from tessera.plans.registry import features_path
 from tessera.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
 
 def test_train_and_test_partition_the_rows(spark):
-    ds = learn.dataset(fx.complaints(spark, SF_SMALL))
-    train, test = learn.train_rows(ds).select(*learn.ROW), learn.test_rows(ds)
+    ds = learn.dataset(spark.read.parquet(features_path(spark, SF_SMALL)))
+    train, test = learn.train_rows(ds).select(*learn.ROW), learn.test_rows(ds).select(*learn.ROW)
     assert train.intersect(test).count() == 0
     assert train.union(test).distinct().count() == ds.rows.count()
 
 
 def test_mlp_runs_and_scores(spark):
-    acc = learn.mlp_accuracy(fx.complaints(spark, SF_SMALL), max_iter=5).first()
-    assert 0.0 <= acc.accuracy <= 1.0 and acc.n_test > 0
+    vectors = spark.read.parquet(features_path(spark, SF_SMALL))
+    acc = learn.mlp_accuracy(vectors, max_iter=60).first()
+    again = learn.mlp_accuracy(vectors, max_iter=60).first()
+    assert acc == again and acc.n_test > 0
+    # Not worse than always answering with the most frequent class.
+    test = learn.test_rows(learn.dataset(vectors))
+    majority = max(r["count"] for r in test.groupBy("label").count().collect()) / test.count()
+    assert acc.accuracy >= majority - 0.05
+
+
+def test_stratified_sample_uses_a_fraction_per_label(spark):
+    vectors = spark.read.parquet(features_path(spark, SF_SMALL))
+    plan = learn.stratified_sample(vectors)._jdf.queryExecution().optimizedPlan().toString()
+    assert "label" in plan.split("Filter")[1].split("\n")[0]
 
 
 @pytest.mark.parametrize("stream,batch", [
@@ -33,10 +46,19 @@ def _split_events(spark, parts):
     from tessera.session import shared_path
 
     folder = shared_path(spark, "events-split")
-    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(parts, "event_id").write.parquet(folder)
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(parts, "event_id").write.parquet(f"{folder}/events.parquet")
     return folder
 
 
+@pytest.mark.parametrize("stream,batch", [
+    ("hourly_avg_pickup_stream", "hourly_avg_pickup"),
+    ("longest_trip_stream", "longest_trip_argmax"),
+])
+def test_streams_read_tables_of_several_files(spark, stream, batch):
+    qs = entry.queries()
+    assert qs[stream](spark, _split_events(spark, 8)).collect() == qs[batch](spark, SF_SMALL).collect()
+
+
 def test_stream_state_across_micro_batches_and_restart(spark):
     import time
 
@@ -44,22 +66,21 @@ def test_stream_state_across_micro_batches_and_restart(spark):
     from tessera.session import shared_path
     from tessera.streaming import trips as streams
 
-    folder = _split_events(spark, 4)
+    path = f"{_split_events(spark, 4)}/events.parquet"
     batch = taxi.hourly_avg_pickup(fx.trips(spark, SF_SMALL)).collect()
-    agg = lambda: streams.hourly_avg_pickup_agg(
-        streams.trips_stream(spark, folder, files_per_batch=1, pattern="part-*.parquet"))
+    agg = lambda: streams.hourly_avg_pickup_agg(streams.trips_stream(spark, path, files_per_batch=1))
 
     # Four micro-batches, one file each, in one run.
     out = streams.run_complete(agg(), "t-stream")
-    assert spark.read.parquet(out).orderBy("start_hour").collect() == batch
+    assert streams.latest(spark, out).orderBy("start_hour").collect() == batch
 
     # Stop after two batches, then resume from the checkpoint.
     out, ckpt = shared_path(spark, "t-out"), shared_path(spark, "t-ckpt")
     q = (agg().writeStream.outputMode("complete").option("checkpointLocation", ckpt)
-         .foreachBatch(streams.overwrite_to(out)).trigger(processingTime="0 seconds").start())
+         .foreachBatch(streams.write_epoch(out)).trigger(processingTime="0 seconds").start())
     deadline = time.time() + 120
     while (q.lastProgress is None or q.lastProgress["batchId"] < 1) and time.time() < deadline:
         time.sleep(0.1)
     q.stop()
     streams.run_complete(agg(), "t-stream", out=out, checkpoint=ckpt)
-    assert spark.read.parquet(out).orderBy("start_hour").collect() == batch
+    assert streams.latest(spark, out).orderBy("start_hour").collect() == batch

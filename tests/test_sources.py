@@ -35,6 +35,29 @@ def test_dropmalformed_drops_bad_records(spark):
     assert [r.trip_id for r in df.collect()] == ["274878258468"]
 
 
+def test_dropmalformed_sees_the_same_records_in_every_query(spark):
+    bad = LINES + ["7,2015-03-10 07:00:00", LINES[0] + ",extra", "", LINES[0].replace("274878258468", "8")]
+    df = readers.read_csv(spark, _write(bad), schemas.TRIPS, mode="DROPMALFORMED")
+    ids = ["274878258468", "8"]
+    assert [r.trip_id for r in df.collect()] == ids
+    assert df.count() == 2
+    assert [r.trip_id for r in df.select("trip_id").collect()] == ids
+    assert df.where("trip_cost > 1").select("trip_end_lat").count() == 2
+
+
+def test_dropmalformed_skips_the_header(spark):
+    header = ",".join(schemas.TRIPS.names)
+    df = readers.read_csv(spark, _write([header, *LINES]), schemas.TRIPS, mode="DROPMALFORMED", header=True)
+    assert df.count() == 1
+
+
+def test_complaint_ids_do_not_depend_on_splits(spark):
+    path = _write(["2015-03-10,en,one two", "2015-03-10,en,three"])
+    a = readers.read_complaints(spark, path).collect()
+    b = readers.read_complaints(spark, path).repartition(3).collect()
+    assert sorted(a) == sorted(b) and len({r.doc_id for r in a}) == 2
+
+
 def test_parse_delimited_casts_and_counts_fields(spark):
     lines = readers.read_text(spark, _write(LINES + ["a,b"]))
     parsed = readers.parse_delimited(lines, schemas.TRIPS)

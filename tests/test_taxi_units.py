@@ -121,25 +121,15 @@ def test_argmax_ties(spark):
     assert one.columns == df.columns
 
 
-def test_argmax_with_key_domain_broadcasts_without_materialising(spark):
-    rows = [("1", "t1", 10.0, 3.0), ("1", "t2", 10.0, 5.0), ("2", "t4", 7.0, 1.0)]
-    df = spark.createDataFrame(rows, "vendor_id string, trip_id string, distance double, duration double")
-    domain = spark.createDataFrame([("1",), ("2",), ("3",)], "vendor_id string")
-    out = groups.argmax_by(df, "vendor_id", "distance", ties="all", key_domain=domain)
-    assert sorted(r.trip_id for r in out.collect()) == ["t1", "t2", "t4"]
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
-
-
-def test_hot_group_is_not_shuffled_to_one_task(spark):
-    # One vendor holds 90% of the rows: the row side is only probed against
-    # the broadcast per-vendor maxima, never repartitioned by vendor.
+def test_hot_group_is_limited_before_the_shuffle(spark):
+    # One vendor holds 90% of the rows: each task keeps its best rows of a
+    # vendor, so what reaches the vendor's task is the ties, not the vendor.
     rows = [("hot" if i % 10 else f"v{i}", f"t{i}", float(i % 997), 1.0) for i in range(20000)]
     df = spark.createDataFrame(rows, "vendor_id string, trip_id string, distance double, duration double")
-    domain = df.select("vendor_id")
-    out = groups.argmax_by(df, "vendor_id", "distance", ties="all", key_domain=domain)
+    out = groups.argmax_by(df, "vendor_id", "distance", ties="all")
     assert out.where("vendor_id = 'hot'").count() == 18 * 1  # distance 996 occurs 20 times, 18 of them hot
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_group_max_keeps_every_row(spark):
