@@ -117,16 +117,16 @@ def _cell(dims: int, k: int):
         out = []
         for lo in range(0, len(queries), AT_ONCE):
             some = queries.iloc[lo : lo + AT_ONCE]
-            q_uid = some["uid"].to_numpy()
+            q_uid = some["q_uid"].to_numpy()
             at = np.minimum(np.searchsorted(uid, q_uid), len(uid) - 1)
             own = np.where(uid[at] == q_uid, at, -1)
-            query, vector, score = index.search(_matrix(some["v"], dims), own, k)
+            query, vector, score = index.search(_matrix(some["q"], dims), own, k)
             order = np.lexsort((ids[vector], -score, query))
             query, vector, score = query[order], vector[order], score[order]
             place = np.arange(len(query)) - np.searchsorted(query, query)
             best = place < k
             query, vector, score = query[best], vector[best], score[best]
-            out.append(pd.DataFrame({"q_uid": q_uid[query], "query_id": some["vec_id"].to_numpy()[query], "vec_id": ids[vector], "score": score}))
+            out.append(pd.DataFrame({"q_uid": q_uid[query], "query_id": some["query_id"].to_numpy()[query], "vec_id": ids[vector], "score": score}))
         return pd.concat(out, ignore_index=True)
 
     return run
@@ -154,7 +154,12 @@ def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str
         return F.pmod(F.xxhash64("uid"), F.lit(count)).cast("int")
 
     left = rows.select(dealt(blocks).alias("b"), every(groups).alias("g"), "uid", "vec_id", "v")
-    right = rows.where(is_query).select(every(blocks).alias("b"), dealt(groups).alias("g"), "uid", "vec_id", "v")
+    # Names of its own: both sides come from one table, and Spark would take
+    # columns of the same name for those of the left side.
+    right = rows.where(is_query).select(
+        every(blocks).alias("b"), dealt(groups).alias("g"), F.col("uid").alias("q_uid"),
+        F.col("vec_id").alias("query_id"), F.col("v").alias("q"),
+    )
     found = left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInPandas(
         _cell(int(dims), k), "q_uid bigint, query_id bigint, vec_id bigint, score bigint"
     )
