@@ -137,21 +137,15 @@ def _counts(complaints: DataFrame, k: int) -> DataFrame:
     """(doc_id, label, counts, max_tf) of the records with a lexicon word:
     counts[idx] is the term frequency, 0 for words that are not there.
 
-    Counted inside the row: its lexicon words are joined into one string with
-    a bar on both sides of every word, and the occurrences of a word are what
-    removing it shortens. Nothing is shuffled. The one-element arrays bind the
-    string and the counts to a name, so that each is made once per record; the
-    explode drops records without a lexicon word.
+    Counted inside the row, over its lexicon words only. Nothing is shuffled.
+    The one-element arrays bind those words and the counts to a name, so that
+    each is made once per record; the explode drops records without any.
     """
-
-    def tf(bars, word):
-        mark = F.concat(F.lit("|"), word, F.lit("|"))
-        return ((F.length(bars) - F.length(F.replace(bars, mark, F.lit("")))) / F.length(mark)).cast("bigint")
-
     known = cleaned(complaints).withColumn("lex", _lexicon_value(complaints, k)["words"])
-    kept = F.filter(words("clean"), lambda w: F.array_contains("lex", w))
-    bars = F.array(F.concat(F.lit("|"), F.array_join(kept, "||"), F.lit("|")))
-    counted = F.transform(bars, lambda b: F.transform("lex", lambda w: tf(b, w)))
+    kept = F.array(F.filter(words("clean"), lambda w: F.array_contains("lex", w)))
+    counted = F.transform(
+        kept, lambda ws: F.transform("lex", lambda w: (F.size(ws) - F.size(F.array_remove(ws, w))).cast("bigint"))
+    )
     found = known.select("doc_id", "label", F.explode(F.filter(counted, lambda c: F.array_max(c) > 0)).alias("counts"))
     return found.select("*", F.array_max("counts").alias("max_tf"))
 
@@ -174,8 +168,10 @@ def term_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
 
 def _frequencies(complaints: DataFrame, k: int) -> DataFrame:
     """(idx, df): at most k rows, also per task before the shuffle."""
-    rows = _counts(complaints, k).select(F.posexplode("counts").alias("idx", "tf")).where("tf > 0")
-    return rows.groupBy("idx").agg(F.count(F.lit(1)).alias("df"))
+    known = cleaned(complaints).withColumn("lex", _lexicon_value(complaints, k)["words"])
+    rows = known.select("lex", F.explode(F.array_intersect(words("clean"), "lex")).alias("word"))
+    idx = F.array_position("lex", F.col("word")).cast("int") - 1
+    return rows.groupBy(idx.alias("idx")).agg(F.count(F.lit(1)).alias("df"))
 
 
 def document_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
