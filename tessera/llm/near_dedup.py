@@ -275,7 +275,9 @@ def _remaining_links(members: DataFrame, roots: DataFrame, classes: DataFrame, s
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, k1, k2 (text key), n_shingles, component_id, kept."""
+    """One row per document: doc_id, k1, k2 (text key), n_shingles, component
+    (null without words; ids may repeat or be null, this is the component's
+    own), component_id, kept."""
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *text_key(F.col(text)))
     kind = keyed.schema["doc_id"].dataType.simpleString()
     rows = scratch(
@@ -311,11 +313,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "s1", "s2", "min_id", F.coalesce("root", "cid").alias("root")
     )
     ids = by_class.groupBy("root").agg(F.min("min_id").alias("component_id"))
-    by_class = by_class.join(ids, "root").select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), "component_id")
+    by_class = by_class.join(ids, "root").select(
+        F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("root").alias("component"), "component_id"
+    )
     found = rows.drop("sketch").join(by_class, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") > 0), "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select(
-        "doc_id", "k1", "k2", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        "doc_id", "k1", "k2", F.col("n").alias("n_shingles"), "component", component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
 
@@ -331,7 +335,7 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     stay = (
         near_duplicates(docs, doc_id, text)
         .where("kept AND n_shingles > 0")
-        .groupBy("component_id")
+        .groupBy("component")
         .agg(F.min(F.struct("doc_id", "k1", "k2")).alias("s"))
         .select("s.*")
         .select(*_row_key(F.col("doc_id")))

@@ -77,6 +77,19 @@ def test_pipeline_form_keeps_one_of_each_and_all_columns(odd):
     assert got.count() - len(kept) == sum(1 for _, n, *_ in exp if not n)
 
 
+def test_unlinked_texts_with_null_or_repeated_ids_all_stay(spark):
+    def words(k):
+        return " ".join(f"u{k}x{i}" for i in range(40))
+
+    rows = [(None, words(k)) for k in range(3)] + [(7, words(k)) for k in range(3, 6)]
+    rows += [(None, words(0) + " tail"), (7, words(3)), (8, words(4) + " tail"), (9, words(6)), (None, words(6) + " tail")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in nd.keep_one_of_each(docs).collect()]
+    assert len(got) == 7 and set(got) <= set(rows)
+    assert sorted(t.split()[0] for _, t in got) == [f"u{k}x0" for k in range(7)]
+    assert (9, words(6)) in got and {(7, words(k)) for k in (3, 4, 5)} <= set(got)
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(7)
     pool = np.unique(rng.integers(0, 2**63, 4000).astype(np.uint64))
