@@ -8,9 +8,11 @@ is scanned once; matched word positions are mapped back to character offsets
 of the original text.
 
 The automaton holds at most ``SHARD_WORDS`` benchmark words. A larger
-benchmark is dealt into several automata of that size, and a document is
-scanned once by each; nothing is cut off. Only this bounded word list is
-sent to the executors. There is no shuffle: documents never move.
+benchmark is dealt into several automata of that size (an item that is longer
+is cut into pieces that overlap by a window less one word), and a document is
+scanned once by each; nothing is lost. The words of the whole benchmark pass
+through the driver and are sent to the executors, so this is meant for
+benchmarks, not corpora. There is no shuffle: documents never move.
 
 Defined results: null text has no words; an item without words has no window;
 an item shorter than the window is one window of its own length; items with a
@@ -27,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm._tokens import slices, texts_of
+
 WINDOW = 13
 SHARD_WORDS = 500_000
 # Bytes that separate words, after lower-casing A-Z.
@@ -101,27 +105,39 @@ def contaminated(n_words: int, n_hit: int) -> bool:
     return n_hit > 0 and 20 * n_hit >= n_words
 
 
-def load_items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> list[list[tuple[str | None, bytes]]]:
-    """Benchmark items in shards of at most ``SHARD_WORDS`` words (a single
-    longer item is a shard of its own); fetched row by row."""
+def _pieces(text: bytes, window: int) -> Iterator[tuple[bytes, int]]:
+    """The text with its number of words, or overlapping pieces of it that hold
+    at most ``SHARD_WORDS`` words (a window at least) and every window once."""
+    ws, most = words(text), max(SHARD_WORDS, window)
+    if len(ws) <= most:
+        yield text, len(ws)
+        return
+    for at in range(0, len(ws) - window + 1, most - window + 1):
+        piece = ws[at : at + most]
+        yield b" ".join(piece), len(piece)
+
+
+def load_items(
+    benchmark: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW
+) -> list[list[tuple[str | None, bytes]]]:
+    """Benchmark items in shards of at most ``SHARD_WORDS`` words; fetched row by row."""
     rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("binary").alias("t")).where("t IS NOT NULL").distinct()
     shards, size = [[]], 0
     for row in rows.toLocalIterator():
-        n = len(words(bytes(row.t)))
-        if shards[-1] and size + n > SHARD_WORDS:
-            shards.append([])
-            size = 0
-        shards[-1].append((row.i, bytes(row.t)))
-        size += n
+        for piece, n in _pieces(bytes(row.t), window):
+            if shards[-1] and size + n > SHARD_WORDS:
+                shards.append([])
+                size = 0
+            shards[-1].append((row.i, piece))
+            size += n
     return shards
 
 
 def _scanner(shards, text: str, window: int, emit):
     def run(batches):
         automata = [Automaton(items, window) for items in shards]
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
-            yield emit(batch, [(t, scan(t, automata)) for t in column])
+        for batch in slices(batches, text):
+            yield emit(batch, [(t, scan(t, automata)) for t in texts_of(batch, text)])
 
     return run
 
@@ -150,7 +166,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
 
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"`{doc_id}` {kind}, n_words bigint, n_hit bigint, items array<string>, contaminated boolean, spans array<struct<start:bigint,end:bigint>>"
-    run = _scanner(load_items(benchmark), text, window, emit)
+    run = _scanner(load_items(benchmark, window=window), text, window, emit)
     return docs.select(doc_id, text).mapInArrow(run, schema)
 
 
@@ -160,7 +176,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     def emit(batch, scanned):
         return batch.filter(pa.array([not contaminated(s[0], s[1]) for _, s in scanned], pa.bool_()))
 
-    return docs.mapInArrow(_scanner(load_items(benchmark), text, window, emit), docs.schema)
+    return docs.mapInArrow(_scanner(load_items(benchmark, window=window), text, window, emit), docs.schema)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -131,17 +131,21 @@ class View:
         order = np.argsort(keys)
         self.keys, self.lift = keys[order], lift[order]
         self.weights, self.bias, self.scale = np.zeros(len(keys)), 0.0, (1.0, 0.0)
-        bits = max(10, int(len(keys) * 16).bit_length())
-        # A table of one slot per key: rarely, a key yields to a later one.
-        self.mask = np.uint64((1 << bits) - 1)
-        self.slot = np.zeros(1 << bits, np.int32)
-        self.slot[(self.keys & self.mask).astype(np.int64)] = np.arange(len(keys))
+        # Where the keys with the same leading bits begin, to find a key in
+        # few steps: keys are sorted and spread evenly.
+        self.shift = np.uint64(64 - max(1, int(len(keys)).bit_length()))
+        heads = self.keys >> self.shift
+        self.first = np.searchsorted(heads, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64))
+        self.most = int(np.diff(self.first).max(initial=0))
 
     def ids(self, key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Known features as numbers, once per owner, by owner."""
         if not len(self.keys):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = self.slot[(key & self.mask).astype(np.int64)]
+        at = self.first[(key >> self.shift).astype(np.int64)]
+        for _ in range(self.most - 1):
+            at = at + (self.keys[np.minimum(at, len(self.keys) - 1)] < key)
+        at = np.minimum(at, len(self.keys) - 1)
         known = self.keys[at] == key
         pairs = np.unique(owner[known].astype(np.int64) * len(self.keys) + at[known])
         return pairs % len(self.keys), pairs // len(self.keys)
@@ -329,10 +333,13 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     )
     # Bounded by LABELLED + POOL rows of three numbers, so safe to broadcast.
     wanted = F.broadcast(chosen.union(pool))
+    # Only the columns used, under names of their own: others may clash.
+    named = [f"meta_{i}" for i in range(len(meta))]
+    used = docs.select(F.col(doc_id).alias("d_id"), F.col(text).alias("text"), *[F.col(c).alias(n) for c, n in zip(meta, named)])
     sample = scratch(
-        docs.join(wanted, F.col(doc_id) == F.col("l_id"))
-        .select("ord", "good", F.col(text).alias("text"), *[F.col(c) for c in meta])
-        .mapInArrow(_feature_rows("text", meta), "ord bigint, good int, t array<bigint>, m array<bigint>"),
+        used.join(wanted, F.col("d_id") == F.col("l_id"))
+        .select("ord", "good", "text", *named)
+        .mapInArrow(_feature_rows("text", named), "ord bigint, good int, t array<bigint>, m array<bigint>"),
         "qc-sample",
     )
     views = [_view(sample, c) for c in ("t", "m")]

@@ -64,3 +64,21 @@ def test_empty_tables(spark, odd, empty):
     assert all(r.n_hit == 0 and not r.contaminated for r in dc.digest(odd, none).collect())
     assert dc.drop_contaminated(odd, none).columns == odd.columns
     same(dc.drop_contaminated(odd, none), odd.collect())
+
+
+def test_a_long_item_is_cut_into_overlapping_pieces(spark, odd, monkeypatch):
+    items = [*ITEMS, (7, " ".join(f"w{i % 977}x{i % 31}" for i in range(500)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = brute([(r.doc_id, r.text) for r in odd.collect()], items)
+    for most in (1, 13, 14, 40):
+        monkeypatch.setattr(dc, "SHARD_WORDS", most)
+        assert all(sum(len(dc.words(t)) for _, t in s) <= max(most, 13) for s in dc.load_items(bench) if len(s) > 1)
+        same(dc.digest(odd, bench), whole)
+
+
+def test_more_distinct_words_than_code_points():
+    text = " ".join(f"q{i}" for i in range(1_120_000)).encode()
+    pieces = list(dc._pieces(text, 13))
+    assert max(n for _, n in pieces) <= dc.SHARD_WORDS < 0x10FFFF - dc._FIRST_CHAR
+    windows = [w for t, n in pieces for w in range(int(t.split()[0][1:]), int(t.split()[0][1:]) + n - 12)]
+    assert windows == list(range(1_120_000 - 12))

@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import quality
@@ -38,3 +39,25 @@ def test_without_labels_everything_is_accepted(spark, odd, empty):
     kept = quality.keep_accepted(odd, quality.train(odd, none))
     assert kept.columns == odd.columns
     same(kept, odd.collect())
+
+
+def test_columns_that_clash_with_internal_names(spark, odd):
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(15)], "doc_id long, quality int, toxic int")
+    clash = odd
+    for name in ("ord", "good", "l_id", "d_id", "meta_0", "test", "t", "m", "quality"):
+        clash = clash.withColumn(name, F.lit("x"))
+    same(quality.judged(clash, labels), quality.judged(odd, labels).collect())
+    assert quality.keep_accepted(clash, quality.train(clash, labels)).columns == clash.columns
+
+
+def test_every_feature_is_found():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 2**64, 5000, np.uint64))
+    keys = np.concatenate([keys, keys[:50] + np.uint64(1)])  # close neighbours too
+    keys = np.unique(keys)
+    view = quality.View(keys[::-1], np.arange(len(keys), dtype=float))
+    ids, owner = view.ids(np.concatenate([keys, keys ^ np.uint64(1 << 40)]), np.repeat([0, 1], len(keys)))
+    assert (np.sort(ids[owner == 0]) == np.arange(len(keys))).all() and not len(ids[owner == 1])
+    assert not len(quality.View(keys[:0], np.zeros(0)).ids(keys, np.zeros(len(keys), int))[0])
+    one = quality.View(keys[:1], np.ones(1))
+    assert one.ids(keys, np.arange(len(keys)))[1].tolist() == [0]
