@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tessera.llm import (
     decontaminate,
+    exact_dedup,
     html_extract,
     line_dedup,
     mixing,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_quality": lambda spark, d: quality.judged(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_url_filter": lambda spark, d: url_reputation.digest(table(spark, d, "pages"), table(spark, d, "labels")),
     "op10_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
+    "op13_exact_dedup": lambda spark, d: exact_dedup.digest(table(spark, d, "documents")),
 }
 
 ORACLE = {
@@ -35,4 +37,5 @@ ORACLE = {
     "op5_line_dedup": line_dedup.DIGEST_SQL,
     "op6_decontaminate": decontaminate.DIGEST_SQL,
     "op9_url_filter": url_reputation.DIGEST_SQL,
+    "op13_exact_dedup": exact_dedup.DIGEST_SQL,
 }
