@@ -14,6 +14,7 @@ from tessera.llm import (
     substring_dedup,
     topk_search,
     url_reputation,
+    whitening,
 )
 from tessera.sources.tables import table
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_quality": lambda spark, d: quality.judged(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_url_filter": lambda spark, d: url_reputation.digest(table(spark, d, "pages"), table(spark, d, "labels")),
     "op10_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
+    "op12_whitening": lambda spark, d: whitening.digest(table(spark, d, "embeddings")),
     "op13_exact_dedup": lambda spark, d: exact_dedup.digest(table(spark, d, "documents")),
 }
 
