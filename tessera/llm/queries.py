@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm import (
+    conversation_repair,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_quality": lambda spark, d: quality.judged(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_url_filter": lambda spark, d: url_reputation.digest(table(spark, d, "pages"), table(spark, d, "labels")),
     "op10_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
+    "op11_conversation_repair": lambda spark, d: conversation_repair.digest(table(spark, d, "conversations")),
     "op12_whitening": lambda spark, d: whitening.digest(table(spark, d, "embeddings")),
     "op13_exact_dedup": lambda spark, d: exact_dedup.digest(table(spark, d, "documents")),
 }

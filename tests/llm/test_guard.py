@@ -7,7 +7,7 @@ from tessera.llm.queries import QUERIES
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) <= set(names) and "pipeline" in names
 
 
