@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.plans import ingest, learn, taxi, text
+from tessera.plans import ingest, learn, model, taxi, text
 from tessera.sources import fixtures as fx
 from tessera.streaming import trips as streams
 
@@ -34,6 +34,11 @@ def features_path(spark: SparkSession, sf_dir: str) -> str:
     return fx.written(spark, sf_dir, "features", lambda: learn.feature_table(spark, fx.complaints(spark, sf_dir)))
 
 
+def model_path(spark: SparkSession, sf_dir: str) -> str:
+    """The stored classifier of a data set, fitted once per application."""
+    return fx.written(spark, sf_dir, "model", lambda: model.stored(spark, fx.complaints(spark, sf_dir)))
+
+
 def _rounded(fn, column: str, decimals: int = 6):
     return lambda c: fn(c).withColumn(column, F.round(column, decimals))
 
@@ -111,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "number_rows": _on_complaints(learn.number_rows),
     "mlp_train_predict": _on_vectors(learn.mlp_predictions),
     "mlp_accuracy": _on_vectors(learn.mlp_accuracy),
+    "mlp_score_stored": lambda spark, d: model.score_stored(fx.complaints(spark, d), model_path(spark, d)),
     # streaming forms
     "hourly_avg_pickup_stream": streams.hourly_avg_pickup_stream,
     "longest_trip_stream": streams.longest_trip_stream,

@@ -16,20 +16,26 @@ documents then have no feature row.
 
 A document is one row, so tf, max tf, weights and the vector need no shuffle:
 only word counts (one row per distinct word and task) and document
-frequencies (k rows per task) are aggregated across the cluster. The lexicon
-and the idf values, k entries each, reach the rows as scalar subqueries.
+frequencies (one vector per task) are aggregated across the cluster. The
+lexicon, k words, is fitted first; it reaches the rows as a hash dictionary
+(``CountVectorizerModel``) and the idf values as a literal.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.predicates import valid_record
 from tessera.functions.text import clean_text, field, is_stop_word, words
 from tessera.operators import groups
+from tessera.session import shared_path
 
 LEXICON_SIZE = 50
 WEIGHT_DECIMALS = 6
@@ -124,130 +130,194 @@ def lexicon_tokens(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     )
 
 
-def _lexicon_value(complaints: DataFrame, k: int):
-    """The ranked lexicon as one value (a scalar subquery): ``words``, at most
-    k of them by idx, and ``n_records``. k is the user's bound on the
-    vocabulary, meant for tens to a few thousand words."""
-    by_idx = F.array_sort(F.collect_list(F.struct("idx", "word")))
-    words_only = F.transform(by_idx, lambda e: e["word"])
-    return _ranked(complaints, k).agg(F.struct(words_only.alias("words"), F.max("n_records").alias("n_records"))).scalar()
+@dataclass(frozen=True)
+class Lexicon:
+    """The ranked words of ``lexicon`` and the number of valid records: k
+    strings, the user's bound on the vocabulary."""
+
+    words: tuple[str, ...]
+    n_records: int
+
+
+def fit_lexicon(complaints: DataFrame, k: int = LEXICON_SIZE) -> Lexicon:
+    """One pass over the texts; only the k best words reach the driver."""
+    rows = sorted(_ranked(complaints, k).collect(), key=lambda r: r.idx)
+    return Lexicon(tuple(r.word for r in rows), rows[0].n_records if rows else 0)
 
 
-def _counts(complaints: DataFrame, k: int) -> DataFrame:
-    """(doc_id, label, counts, max_tf) of the records with a lexicon word:
-    counts[idx] is the term frequency, 0 for words that are not there.
+def count_vectors(complaints: DataFrame, lex: Lexicon) -> DataFrame:
+    """(doc_id, label, tf): the term frequencies by idx as a sparse vector.
 
-    Counted inside the row, over its lexicon words only. Nothing is shuffled.
-    The one-element arrays bind those words and the counts to a name, so that
-    each is made once per record; the explode drops records without any.
+    The lexicon is a hash dictionary in the JVM, sent to each executor once:
+    a record costs its words, whatever the size of the lexicon. Nothing is
+    shuffled.
     """
-    known = cleaned(complaints).withColumn("lex", _lexicon_value(complaints, k)["words"])
-    kept = F.array(F.filter(words("clean"), lambda w: F.array_contains("lex", w)))
-    counted = F.transform(
-        kept, lambda ws: F.transform("lex", lambda w: (F.size(ws) - F.size(F.array_remove(ws, w))).cast("bigint"))
-    )
-    found = known.select("doc_id", "label", F.explode(F.filter(counted, lambda c: F.array_max(c) > 0)).alias("counts"))
-    return found.select("*", F.array_max("counts").alias("max_tf"))
+    rows = cleaned(complaints).select("doc_id", "label", words("clean").alias("words"))
+    if not lex.words:
+        nothing = array_to_vector(F.array().cast("array<double>"))
+        return rows.where(F.lit(False)).select("doc_id", "label", nothing.alias("tf"))
+    dictionary = CountVectorizerModel.from_vocabulary(list(lex.words), inputCol="words", outputCol="tf")
+    return dictionary.transform(rows).select("doc_id", "label", "tf")
+
+
+def written_counts(complaints: DataFrame, lex: Lexicon) -> DataFrame:
+    """``count_vectors`` written once to the shared folder, so that document
+    frequencies and weights need one pass over the texts, not two."""
+    counted = count_vectors(complaints, lex)
+    path = shared_path(complaints.sparkSession, "term-counts")
+    counted.write.parquet(path)
+    return complaints.sparkSession.read.parquet(path)
+
 
+def _counts(vectors: DataFrame) -> DataFrame:
+    """(doc_id, label, tf, idxs, counts, max_tf) of the records with a lexicon
+    word: the entries of the sparse vector as two arrays."""
+    entry = F.unwrap_udt("tf")
+    found = vectors.select("doc_id", "label", "tf", entry.getField("indices").alias("idxs"), entry.getField("values").alias("counts"))
+    return found.where(F.size("idxs") > 0).withColumn("max_tf", F.array_max("counts"))
 
-def _entries(rows: DataFrame, values: str, complaints: DataFrame, k: int, name: str) -> DataFrame:
+
+def _word(lex: Lexicon):
+    """The word of the column idx; words are letters only."""
+    return F.element_at(F.split(F.lit(" ".join(lex.words)), " "), F.col("idx") + 1)
+
+
+def _entries(rows: DataFrame, values: str, lex: Lexicon, name: str) -> DataFrame:
     """(doc_id, label, word, idx, <name>) of the lexicon words present."""
-    present = rows.select(
-        "doc_id", "label", F.posexplode(F.arrays_zip("counts", values)).alias("idx", "e")
-    ).where(F.col("e.counts") > 0)
-    word = F.element_at(_lexicon_value(complaints, k)["words"], F.col("idx") + 1)
-    return present.select("doc_id", "label", word.alias("word"), "idx", F.col(f"e.{values}").alias(name))
+    present = rows.select("doc_id", "label", F.explode(F.arrays_zip("idxs", values)).alias("e"))
+    return present.select("doc_id", "label", F.col("e.idxs").alias("idx"), F.col(f"e.{values}").alias(name)).select(
+        "doc_id", "label", _word(lex).alias("word"), "idx", name
+    )
+
+
+def _numbers(values):
+    """An array literal of doubles."""
+    return F.lit(np.array(values, dtype=np.float64))
 
 
 def term_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(doc_id, label, word, idx, tf) for the lexicon words; no shuffle of
     documents or words."""
-    rows = _counts(complaints, k).withColumn("tf", F.col("counts"))
-    return _entries(rows, "tf", complaints, k, "tf")
+    lex = fit_lexicon(complaints, k)
+    entries = _entries(_counts(count_vectors(complaints, lex)), "counts", lex, "tf")
+    return entries.withColumn("tf", F.col("tf").cast("bigint"))
 
 
-def _frequencies(complaints: DataFrame, k: int) -> DataFrame:
-    """(idx, df): at most k rows, also per task before the shuffle."""
-    known = cleaned(complaints).withColumn("lex", _lexicon_value(complaints, k)["words"])
-    rows = known.select("lex", F.explode(F.array_intersect(words("clean"), "lex")).alias("word"))
-    idx = F.array_position("lex", F.col("word")).cast("int") - 1
-    return rows.groupBy(idx.alias("idx")).agg(F.count(F.lit(1)).alias("df"))
+def _frequencies(vectors: DataFrame) -> DataFrame:
+    """(idx, df): the non-zero entries per place, one vector per task."""
+    there = Summarizer.metrics("numNonZeros").summary(F.col("tf")).getField("numNonZeros")
+    return vectors.agg(there.alias("df")).select(
+        F.posexplode(vector_to_array("df")).alias("idx", "df")
+    ).select("idx", F.col("df").cast("bigint").alias("df"))
 
 
 def document_frequency(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(word, df): number of documents containing the lexicon word."""
-    word = F.element_at(_lexicon_value(complaints, k)["words"], F.col("idx") + 1)
-    return _frequencies(complaints, k).select(word.alias("word"), "df")
+    lex = fit_lexicon(complaints, k)
+    found = _frequencies(count_vectors(complaints, lex)) if lex.words else complaints.sparkSession.createDataFrame([], "idx int, df bigint")
+    return found.select(_word(lex).alias("word"), "df")
 
 
 def idf(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(word, idf) with idf = ln(N / df); at most k rows."""
-    lex = _lexicon_value(complaints, k)
-    return _frequencies(complaints, k).select(
-        F.element_at(lex["words"], F.col("idx") + 1).alias("word"), F.log(lex["n_records"] / F.col("df")).alias("idf")
-    )
+    lex = fit_lexicon(complaints, k)
+    if not lex.words:
+        return complaints.sparkSession.createDataFrame([], "word string, idf double")
+    return _frequencies(count_vectors(complaints, lex)).select(_word(lex).alias("word"), F.log(F.lit(lex.n_records) / F.col("df")).alias("idf"))
 
 
-def _normalised(complaints: DataFrame, k: int) -> DataFrame:
-    """``_counts`` with tf_norm[idx] = 0.5 + 0.5 tf / max tf of the document."""
+def _normalised(vectors: DataFrame) -> DataFrame:
+    """``_counts`` with tf_norm = 0.5 + 0.5 tf / max tf of the document."""
     norm = F.transform("counts", lambda tf: F.lit(0.5) + F.lit(0.5) * tf / F.col("max_tf"))
-    return _counts(complaints, k).withColumn("tf_norm", norm)
+    return _counts(vectors).withColumn("tf_norm", norm)
 
 
 def tf_double_norm(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(doc_id, label, word, idx, tf_norm) = 0.5 + 0.5 tf / max tf of the doc."""
-    return _entries(_normalised(complaints, k), "tf_norm", complaints, k, "tf_norm")
-
-
-def _weighted(complaints: DataFrame, k: int) -> DataFrame:
-    """``_counts`` with weight[idx] = tf_norm * idf, 0 for absent words. The
-    idf values are a second scalar subquery, of at most k numbers by idx."""
-    n = _lexicon_value(complaints, k)["n_records"]
-    by_idx = F.array_sort(F.collect_list(F.struct("idx", "idf")))
-    with_idf = _frequencies(complaints, k).withColumn("idf", F.log(n / F.col("df")))
-    idfs = with_idf.agg(F.transform(by_idx, lambda e: e["idf"])).scalar()
-    rows = _counts(complaints, k).withColumn("idf", idfs)
-    weight = F.zip_with(
-        "counts",
-        "idf",
-        lambda tf, w: F.when(tf > 0, (F.lit(0.5) + F.lit(0.5) * tf / F.col("max_tf")) * w).otherwise(F.lit(0.0)),
-    )
-    return rows.withColumn("weight", weight)
+    lex = fit_lexicon(complaints, k)
+    return _entries(_normalised(count_vectors(complaints, lex)), "tf_norm", lex, "tf_norm")
+
+
+@dataclass(frozen=True)
+class Weights:
+    """A fitted vocabulary: words by idx, their idf, and the vector size k."""
+
+    words: tuple[str, ...]
+    idf: tuple[float, ...]
+    size: int
+
+
+def fit_weights(vectors: DataFrame, lex: Lexicon, k: int) -> Weights:
+    """The idf values of the lexicon, from the count vectors."""
+    if not lex.words:
+        return Weights((), (), k)
+    rows = _frequencies(vectors).select("idx", F.log(F.lit(lex.n_records) / F.col("df")).alias("idf")).collect()
+    return Weights(lex.words, tuple(r.idf for r in sorted(rows, key=lambda r: r.idx)), k)
+
+
+def weighted(vectors: DataFrame, weights: Weights) -> DataFrame:
+    """``_normalised`` with weight = tf_norm * idf."""
+    weight = F.zip_with("idxs", "tf_norm", lambda i, tf: tf * F.element_at(_numbers(weights.idf), i + 1))
+    return _normalised(vectors).withColumn("weight", weight)
+
+
+def _fitted(complaints: DataFrame, k: int) -> tuple[DataFrame, Lexicon, Weights]:
+    lex = fit_lexicon(complaints, k)
+    vectors = written_counts(complaints, lex)
+    return vectors, lex, fit_weights(vectors, lex, k)
+
+
+def fitted_weights(complaints: DataFrame, k: int = LEXICON_SIZE) -> Weights:
+    """The vocabulary of the complaints; the texts are read twice and no count
+    is written."""
+    lex = fit_lexicon(complaints, k)
+    return fit_weights(count_vectors(complaints, lex), lex, k)
 
 
 def tfidf(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(doc_id, label, idx, word, weight = tf_norm * idf)."""
-    rows = _entries(_weighted(complaints, k), "weight", complaints, k, "weight")
+    vectors, lex, weights = _fitted(complaints, k)
+    rows = _entries(weighted(vectors, weights), "weight", lex, "weight")
     return rows.select("doc_id", "label", "idx", "word", "weight")
 
 
-def tfidf_vectors(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
+def feature_vectors(vectors: DataFrame, weights: Weights) -> DataFrame:
     """One row per document with a lexicon word:
     (doc_id, label_f, features: k-wide vector, features_key).
 
-    The weights are already laid out by idx in the row; ``VectorAssembler``
-    stores them sparse where that is smaller. ``features_key`` spells the
-    words present as "idx:round(weight * 1e6)" for exact comparisons.
+    ``VectorAssembler`` stores the vectors sparse where that is smaller.
+    ``features_key`` spells the words present as "idx:round(weight * 1e6)" for
+    comparisons across engines.
     """
-    # A lexicon shorter than k leaves zeros at the end.
-    dense = F.concat("weight", F.array_repeat(F.lit(0.0), F.lit(k) - F.size("weight")))
-    spelled = F.transform(
-        F.arrays_zip("counts", "weight"),
-        lambda e, i: F.when(
-            e["counts"] > 0,
-            F.concat(i.cast("string"), F.lit(":"), F.round(e["weight"] * F.lit(1e6)).cast("bigint").cast("string")),
-        ),
+    # Laid out by idx; a lexicon shorter than k leaves zeros at the end.
+    value = F.transform(
+        vector_to_array("tf"),
+        lambda tf, i: F.when(
+            tf > 0, (F.lit(0.5) + F.lit(0.5) * tf / F.col("max_tf")) * F.element_at(_numbers(weights.idf), i + 1)
+        ).otherwise(F.lit(0.0)),
     )
-    rows = _weighted(complaints, k).select(
+    dense = F.concat(value, F.array_repeat(F.lit(0.0), weights.size - len(weights.words)))
+    spelled = F.zip_with(
+        "idxs", "weight", lambda i, w: F.concat(i.cast("string"), F.lit(":"), F.round(w * F.lit(1e6)).cast("bigint").cast("string"))
+    )
+    rows = weighted(vectors, weights).select(
         "doc_id",
         F.col("label").alias("label_f"),
         array_to_vector(dense).alias("dense"),
         F.array_join(spelled, " ").alias("features_key"),
     )
-    assembled = VectorAssembler(inputCols=["dense"], outputCol="features").transform(rows)
+    # The size is known: without the hint the assembler runs a job to look.
+    sized = VectorSizeHint(inputCol="dense", size=weights.size, handleInvalid="optimistic").transform(rows)
+    assembled = VectorAssembler(inputCols=["dense"], outputCol="features").transform(sized)
     return assembled.select("doc_id", "label_f", "features", "features_key")
 
 
+def tfidf_vectors(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
+    """``feature_vectors`` of the complaints with the vocabulary fitted on them."""
+    vectors, _, weights = _fitted(complaints, k)
+    return feature_vectors(vectors, weights)
+
+
 def tfidf_sparse(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """The vectors read back as (doc_id, label_f, idx, value) for non-zero
     entries; checks the assembly (index placement, size k)."""
