@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.small import side_table
+
 
 def _cols(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
@@ -53,20 +55,17 @@ def argmax_by(
 
 def with_group_max(df: DataFrame, keys: str | Sequence[str], value: str, out: str) -> DataFrame:
     """Every row plus the maximum of ``value`` over its group, i.e.
-    ``max(value) over (partition by keys)`` without sending a whole group
-    to one task: partial aggregate, then join back on the keys, without a
-    hint (AQE broadcasts a small group table and splits skewed keys).
-
-    The aggregate also counts the non-null values of every column, and a
-    condition that always holds refers to the counts: both branches then ask
-    for the same columns of ``df``, so its shuffles are planned once and
-    reused.
+    ``max(value) over (partition by keys)`` without dealing the rows by group.
+
+    The maxima, one row per group, come from partial aggregates (one row per
+    group and task in the shuffle) and are written; if they are small enough
+    they meet the rows as a broadcast, so a group of any size stays where its
+    rows are. With more groups than that (``side_table``) Spark joins by
+    statistics, and adaptive execution splits skewed keys.
     """
     keys = _cols(keys)
-    others = [c for c in df.columns if c not in keys]
-    counts = {f"__seen{i}": F.count(c) for i, c in enumerate(others)}
-    best = df.groupBy(*keys).agg(F.max(value).alias(out), *[n.alias(c) for c, n in counts.items()])
-    best = best.where(" AND ".join(f"{c} >= 0" for c in counts)).alias("__r")
+    maxima = df.groupBy(*keys).agg(F.max(value).alias(out))
+    best = side_table(maxima, "group-max").alias("__r")
     joined = df.alias("__l").join(best, _key_match(keys), "inner")
     return joined.select(*_left_cols(df), F.col(f"__r.`{out}`"))
 

@@ -16,6 +16,7 @@ from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.predicates import valid_record
 from tessera.operators import numbering, sampling, sets
 from tessera.plans import text
 from tessera.session import shared_path
@@ -64,8 +65,7 @@ def dataset(vectors: DataFrame) -> Dataset:
     and the de-duplicated rows."""
     model = label_indexer(vectors)
     labelled = model.transform(vectors)
-    rows = sets.dedup_rows(labelled.select("label_f", "label", "features", "features_key"),
-                           ["label_f", "label", "features_key"])
+    rows = sets.dedup_vectors(labelled.select("label_f", "label", "features", "features_key"), "features", ["label_f", "label"])
     return Dataset(labelled, rows, list(model.labels))
 
 
@@ -124,6 +124,12 @@ def stratified_split_hash(vectors: DataFrame) -> DataFrame:
     return with_split(dataset(vectors)).select(*ROW, "split")
 
 
+def stratified_split_exact(vectors: DataFrame) -> DataFrame:
+    """Exactly round(0.8 n) training rows of every label."""
+    rows = dataset(vectors).rows.select(*ROW)
+    return sampling.exact_split(rows, "label", ["label_f", "features_key"], TRAIN_FRACTION, SPLIT_SEED)
+
+
 def except_distinct(vectors: DataFrame) -> DataFrame:
     """All distinct rows EXCEPT the training rows."""
     ds = dataset(vectors)
@@ -141,6 +147,13 @@ def number_rows(complaints: DataFrame) -> DataFrame:
     return numbering.number_rows(text.valid_records(complaints).select("doc_id"), ["doc_id"])
 
 
+def number_lines(lines: DataFrame) -> DataFrame:
+    """(doc_id, row_idx): valid records of complaint files numbered 0.. in the
+    order of the files. lines: (value, file, start) of ``readers.read_lines``."""
+    records = lines.select(F.md5("value").alias("doc_id"), F.col("value").alias("line"), "file", "start").where(valid_record("line"))
+    return numbering.number_in_input_order(records.select("doc_id", "file", "start")).select("doc_id", "row_idx")
+
+
 # --- classifier --------------------------------------------------------------
 
 def train_mlp(train: DataFrame, n_features: int, n_classes: int, cache: bool = True, max_iter: int = MAX_ITER):

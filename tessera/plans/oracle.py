@@ -333,6 +333,11 @@ SELECT split, label_f, count(*) AS n FROM split GROUP BY split, label_f"""),
     "class_cardinality": learn_sql("SELECT count(DISTINCT label_f) AS n_classes FROM rows"),
     "distinct_labels": learn_sql("SELECT DISTINCT label_f, label FROM rows"),
     "stratified_split_hash": learn_sql("SELECT label_f, label, features_key, split FROM split"),
+    "stratified_split_exact": learn_sql("""
+SELECT label_f, label, features_key,
+       CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', '10', label_f, features_key)))
+                 <= floor(0.8 * count(*) OVER (PARTITION BY label) + 0.5) THEN 'train' ELSE 'test' END AS split
+FROM rows"""),
     "except_distinct": learn_sql("""
 SELECT label_f, label, features_key FROM rows
 EXCEPT
@@ -344,6 +349,17 @@ SELECT label_f, label, features_key FROM split WHERE split = 'train'"""),
     "number_rows": text_sql("valid", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM valid"),
 }
 
+# Lines stand in the file in the order of the documents table, that of doc_id.
+LEARN["number_lines"] = with_ctes(
+    COMPLAINTS,
+    "lines AS (SELECT doc_id AS place, translate(line, chr(10) || chr(13), '  ') AS line FROM complaints)",
+    body="""
+SELECT md5(line) AS doc_id, row_number() OVER (ORDER BY place) - 1 AS row_idx FROM (
+  SELECT place, line, string_split(line, ',') AS parts FROM lines)
+WHERE len(parts) = 3 AND length(parts[3]) > 0 AND starts_with(parts[1], '201')""")
+
+TAXI["join_hot_keys"] = TAXI["join_inner"]
+
 ORACLE: dict[str, str] = {}
 ORACLE.update(TAXI)
 ORACLE.update(INGEST)

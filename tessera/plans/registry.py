@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import ingest, learn, model, taxi, text
 from tessera.sources import fixtures as fx
+from tessera.sources import readers
 from tessera.streaming import trips as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "longest_trip_sql": lambda spark, d: taxi.longest_trip_sql(spark, fx.trips(spark, d), fx.vendors(spark, d)),
     # joins
     "join_inner": _on_trips_vendors(taxi.join_inner),
+    "join_hot_keys": _on_trips_vendors(taxi.join_hot_keys),
     "join_broadcast": _on_trips_vendors(taxi.join_broadcast),
     "join_sort_merge": _on_trips_vendors(taxi.join_sort_merge),
     "limit_build_side": lambda spark, d: taxi.limit_build_side(fx.vendors(spark, d)),
@@ -111,9 +113,11 @@ QUERIES: dict[str, Query] = {
     "distinct_labels": _on_vectors(learn.distinct_labels),
     "stratified_sample": _on_vectors(learn.stratified_sample),
     "stratified_split_hash": _on_vectors(learn.stratified_split_hash),
+    "stratified_split_exact": _on_vectors(learn.stratified_split_exact),
     "except_distinct": _on_vectors(learn.except_distinct),
     "except_all": _on_vectors(learn.except_all),
     "number_rows": _on_complaints(learn.number_rows),
+    "number_lines": lambda spark, d: learn.number_lines(readers.read_lines(spark, fx.complaints_text_path(spark, d))),
     "mlp_train_predict": _on_vectors(learn.mlp_predictions),
     "mlp_accuracy": _on_vectors(learn.mlp_accuracy),
     "mlp_score_stored": lambda spark, d: model.score_stored(fx.complaints(spark, d), model_path(spark, d)),

@@ -20,6 +20,14 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``read_text`` with the path of the file and the start of the split that
+    a line comes from: (value, file, start)."""
+    return read_text(spark, path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
