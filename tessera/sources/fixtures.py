@@ -55,15 +55,19 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*[c.alias(n) for n, c in cols.items()])
 
 
-def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(trip_id, vendor_id); two vendors, so each holds about half the rows."""
-    ev = table(spark, sf_dir, "events")
-    return ev.where(F.col("event_id") % NO_VENDOR_MOD != 0).select(
+def vendor_rows(events: DataFrame) -> DataFrame:
+    """(trip_id, vendor_id) of a batch or a stream of events."""
+    return events.where(F.col("event_id") % NO_VENDOR_MOD != 0).select(
         F.col("event_id").cast("string").alias("trip_id"),
         (F.lit(1) + F.col("user_id") % 2).cast("string").alias("vendor_id"),
     )
 
 
+def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(trip_id, vendor_id); two vendors, so each holds about half the rows."""
+    return vendor_rows(table(spark, sf_dir, "events"))
+
+
 def _wall_clock_text(ts: Column) -> Column:
     # cast(timestamp_ntz as string) ignores the session zone; date_format
     # does not, so it is avoided here.

@@ -2,8 +2,11 @@
 
 The ``events`` table, one file or a folder of files, is read as a file stream.
 Q1 is a streaming aggregation (24 groups of state) whose complete results are
-written epoch by epoch; Q2 is a stateless conversion followed by one batch
-join. A restarted query resumes from its checkpoint in the shared folder.
+written epoch by epoch. Q2 is two queries: a stream-stream join of trips and
+vendor rows, whose state holds the key columns and two numbers of each row so that
+a vendor row may come long after its trip, and a running arg-max with one trip
+per vendor as state. Each trigger joins only rows that are new on either side.
+A restarted query resumes from its checkpoint in the shared folder.
 ``availableNow`` processes what is there and stops, which makes a stream usable
 as a batch job and in tests.
 """
@@ -15,7 +18,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.predicates import clean_trip
 from tessera.functions.timecols import hour_of
-from tessera.operators import groups
 from tessera.plans import taxi
 from tessera.session import shared_path
 from tessera.sources import fixtures as fx
@@ -52,6 +54,50 @@ def hourly_avg_pickup_agg(trips: DataFrame) -> DataFrame:
     )
 
 
+def vendors_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    return fx.vendor_rows(events_stream(spark, path, files_per_batch))
+
+
+def trips_with_vendor(trips: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Clean trips joined with their vendor rows as both streams go on:
+    (vendor_id, trip_id, distance, duration). Either side may come first, by
+    any time, so nothing is ever forgotten: on a cluster set
+    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider,
+    which keeps this state on disk."""
+    metrics = trips.where(clean_trip()).select(
+        "trip_id", taxi.distance("compat").alias("distance"), taxi.duration().alias("duration")
+    )
+    return metrics.join(vendors, "trip_id").select("vendor_id", "trip_id", "distance", "duration")
+
+
+def longest_trip_agg(joined: DataFrame) -> DataFrame:
+    """The longest trip per vendor so far (ties: longer duration, larger id),
+    as a maximum of structs: the state is one trip per vendor, and a task sends
+    one row per vendor."""
+    best = F.max(F.struct("distance", "duration", "trip_id"))
+    return (
+        joined.where(F.col("distance").isNotNull())
+        .groupBy("vendor_id")
+        .agg(best.alias("best"))
+        .select("vendor_id", "best.trip_id", "best.distance", "best.duration")
+    )
+
+
+def update_longest_trips(trips: DataFrame, vendors: DataFrame, folder: str) -> DataFrame:
+    """Take in what is new in both streams and return the longest trip per
+    vendor. ``folder`` (shared) holds both queries' checkpoints and results: the
+    next call goes on from there, and a call that was cut off is resumed."""
+    spark = trips.sparkSession
+    joined = trips_with_vendor(trips, vendors)
+    rows = run_append(joined, "stream-q2-join", f"{folder}/joined", f"{folder}/join-checkpoint")
+    found = spark.readStream.schema(joined.schema).parquet(rows)
+    agg = longest_trip_agg(found)
+    out = f"{folder}/longest"
+    spark.createDataFrame([], agg.schema).write.mode("ignore").parquet(f"{out}/epoch=-1")
+    run_complete(agg, "stream-q2", out, f"{folder}/longest-checkpoint")
+    return latest(spark, out)
+
+
 def write_epoch(out: str):
     """A ``foreachBatch`` function that writes each complete result to a folder
     of its own, ``out/epoch=<n>``: earlier results stay readable while a new one
@@ -115,16 +161,7 @@ def hourly_avg_pickup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def longest_trip_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q2 (one longest clean trip per vendor) over the event stream.
-
-    The stream converts new trips to (trip_id, distance, duration) rows, with
-    no state; the join with the vendor table and the arg-max run once, over
-    the converted rows, so the vendors are read once and not per trigger.
-    """
-    metrics = trips_stream(spark, _events(sf_dir)).where(clean_trip()).select(
-        "trip_id", taxi.distance("compat").alias("distance"), taxi.duration().alias("duration")
-    )
-    converted = spark.read.parquet(run_append(metrics, "stream-q2"))
-    joined = converted.join(fx.vendors(spark, sf_dir), "trip_id").select("vendor_id", "trip_id", "distance", "duration")
-    best = groups.argmax_by(joined, "vendor_id", "distance", ties="one", tie_break=["duration", "trip_id"])
+    """Q2 (one longest clean trip per vendor) over streams of trips and vendors."""
+    path = _events(sf_dir)
+    best = update_longest_trips(trips_stream(spark, path), vendors_stream(spark, path), shared_path(spark, "stream-q2"))
     return best.orderBy("vendor_id")

@@ -84,3 +84,76 @@ def test_stream_state_across_micro_batches_and_restart(spark):
     q.stop()
     streams.run_complete(agg(), "t-stream", out=out, checkpoint=ckpt)
     assert streams.latest(spark, out).orderBy("start_hour").collect() == batch
+
+
+class _Source:
+    """A folder to which files of a table are added over time."""
+
+    def __init__(self, spark, rows, parts):
+        from tessera.session import shared_path
+
+        self.path = shared_path(spark, "t-source")
+        self.pieces = rows.randomSplit([1.0] * parts, 3)
+        self.add(0)
+
+    def add(self, i):
+        self.pieces[i].coalesce(1).write.mode("append").parquet(self.path)
+
+
+def _read(spark, source):
+    """The source as a stream, one file at a time."""
+    from tessera.streaming import trips as streams
+
+    return streams.events_stream(spark, source.path, 1)
+
+
+def test_longest_trips_with_late_rows_and_restarts(spark):
+    """Vendor rows come after their trips, trips after their vendor rows; every
+    call takes in the new files only and equals the batch query over all so far."""
+    from tessera.plans import taxi
+    from tessera.session import shared_path
+    from tessera.streaming import trips as streams
+
+    trips, vendors = fx.trips(spark, SF_SMALL), fx.vendors(spark, SF_SMALL)
+    t, v = _Source(spark, trips, 3), _Source(spark, vendors, 3)
+    folder = shared_path(spark, "t-longest")
+    for step in (lambda: None, lambda: v.add(1), lambda: t.add(1), lambda: (v.add(2), t.add(2)), lambda: None):
+        step()
+        got = streams.update_longest_trips(_read(spark, t), _read(spark, v), folder)
+        want = taxi.longest_trip_argmax(spark.read.parquet(t.path), spark.read.parquet(v.path))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+    # Rows that were joined are written once, whatever the number of calls.
+    clean = taxi._trips_with_vendor(trips.where(taxi.clean_trip()), vendors, "compat")
+    assert spark.read.parquet(f"{folder}/joined").count() == clean.count()
+
+
+def test_longest_trips_resume_after_a_cut(spark):
+    """The join query is stopped in the middle; the next call finishes it."""
+    import time
+
+    from tessera.plans import taxi
+    from tessera.session import shared_path
+    from tessera.streaming import trips as streams
+
+    path = f"{_split_events(spark, 6)}/events.parquet"
+    folder = shared_path(spark, "t-longest")
+    both = lambda: (streams.trips_stream(spark, path, 1), streams.vendors_stream(spark, path, 1))
+    cut = (streams.trips_with_vendor(*both()).writeStream.format("parquet").option("checkpointLocation", f"{folder}/join-checkpoint")
+           .trigger(processingTime="0 seconds").start(f"{folder}/joined"))
+    deadline = time.time() + 120
+    while (cut.lastProgress is None or cut.lastProgress["batchId"] < 1) and time.time() < deadline:
+        time.sleep(0.1)
+    cut.stop()
+    got = streams.update_longest_trips(*both(), folder)
+    want = taxi.longest_trip_argmax(fx.trips(spark, SF_SMALL), fx.vendors(spark, SF_SMALL))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+
+def test_longest_trips_of_an_empty_stream(spark):
+    from tessera.session import shared_path
+    from tessera.streaming import trips as streams
+
+    path = shared_path(spark, "t-empty")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(0).write.parquet(path)
+    empty = streams.update_longest_trips(streams.trips_stream(spark, path), streams.vendors_stream(spark, path), shared_path(spark, "t-l"))
+    assert empty.count() == 0 and empty.columns == ["vendor_id", "trip_id", "distance", "duration"]
