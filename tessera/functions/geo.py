@@ -78,3 +78,20 @@ def register_sql_functions(spark: SparkSession) -> None:
     """Make the UDF forms callable from SQL text."""
     spark.udf.register("haversine_km_udf", haversine_km_udf)
     spark.udf.register("haversine_compat_udf", haversine_compat_udf)
+
+
+def z_order(x, y, x_range: tuple[float, float], y_range: tuple[float, float], bits: int = 8) -> Column:
+    """A number that is near for near points: the bits of both coordinates'
+    cells, interleaved. Points outside the ranges count as on their border; a
+    null coordinate gives null."""
+
+    def cell(c, low: float, high: float) -> Column:
+        share = (_col(c) - low) / (high - low) * (1 << bits)
+        return F.floor(F.greatest(F.least(share, F.lit(float((1 << bits) - 1))), F.lit(0.0))).cast("int")
+
+    def spread_bits(n: Column, shift: int) -> list[Column]:
+        return [F.shiftleft(F.shiftright(n, i).bitwiseAND(F.lit(1)), 2 * i + shift) for i in range(bits)]
+
+    parts = spread_bits(cell(x, *x_range), 0) + spread_bits(cell(y, *y_range), 1)
+    known = _col(x).isNotNull() & _col(y).isNotNull()
+    return F.when(known, sum(parts[1:], parts[0]))

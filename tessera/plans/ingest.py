@@ -44,6 +44,21 @@ def count_dropmalformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scan_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents from quoted CSV records that span lines, malformed
+    ones dropped."""
+    path = fx.documents_csv_path(spark, sf_dir)
+    docs = readers.read_csv(spark, path, schemas.DOCUMENTS, mode="DROPMALFORMED", header=True, multi_line=True)
+    return docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def filter_bbox_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The box filter over trips converted in order of place: row groups
+    outside the box are skipped by their statistics."""
+    path = sinks.csv_to_clustered(spark, fx.trips_csv_path(spark, sf_dir), shared_path(spark, "clustered"))
+    return taxi.filter_bbox(readers.read_parquet(spark, path))
+
+
 def convert_to_parquet(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Run the conversion job into a new folder; returns (trips, vendors)."""
     out = shared_path(spark, "parquet")

@@ -204,6 +204,13 @@ SELECT vendor_id, trip_id, distance, duration FROM (
 WHERE distance = max_distance""")
 
 
+INGEST["filter_bbox_clustered"] = with_ctes(
+    TRIPS, TRIPS_CSV, body=f"SELECT {COLS8} FROM trips_csv WHERE NOT malformed AND {BOX}")
+INGEST["scan_csv_multiline"] = f"""
+SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text FROM documents
+WHERE doc_id IS NULL OR doc_id % {fx.BAD_TIME_MOD} <> {fx.BAD_TIME_REM}"""
+
+
 INGEST["longest_trip_argmax_text"] = with_ctes(TRIPS, TRIPS_CSV, VENDORS, f"""joined AS (
   SELECT v.vendor_id, t.trip_id, {DIST_COMPAT} AS distance, {DURATION} AS duration
   FROM trips_csv t JOIN vendors v ON t.trip_id = v.trip_id

@@ -81,6 +81,8 @@ QUERIES: dict[str, Query] = {
     "scan_csv": ingest.scan_csv,
     "scan_csv_dropmalformed": ingest.scan_csv_dropmalformed,
     "count_dropmalformed": ingest.count_dropmalformed,
+    "scan_csv_multiline": ingest.scan_csv_multiline,
+    "filter_bbox_clustered": ingest.filter_bbox_clustered,
     "csv_to_parquet": ingest.csv_to_parquet,
     "csv_to_parquet_vendors": ingest.csv_to_parquet_vendors,
     "hourly_avg_pickup_csv": ingest.hourly_avg_pickup_csv,

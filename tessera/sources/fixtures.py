@@ -166,3 +166,20 @@ def trips_from_csv(spark: SparkSession, sf_dir: str, mode: str = "PERMISSIVE") -
 
 def vendors_from_csv(spark: SparkSession, sf_dir: str, mode: str = "PERMISSIVE") -> DataFrame:
     return readers.read_csv(spark, vendors_csv_path(spark, sf_dir), schemas.VENDORS, mode=mode)
+
+
+def documents_csv_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of CSV files with a header and quoted whole texts, line breaks
+    included; every 89th id is malformed."""
+
+    def write() -> str:
+        bad = F.col("doc_id") % BAD_TIME_MOD == BAD_TIME_REM
+        rows = table(spark, sf_dir, "documents").select(
+            F.when(bad, F.lit("n/a")).otherwise(F.col("doc_id").cast("string")).alias("doc_id"), "lang", "text"
+        )
+        path = shared_path(spark, "documents-csv")
+        options = {"header": True, "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.write.options(**options).csv(path)
+        return path
+
+    return written(spark, sf_dir, "documents", write)

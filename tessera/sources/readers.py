@@ -35,20 +35,26 @@ def read_csv(
     mode: str = "PERMISSIVE",
     header: bool = False,
     timestamp_format: str = TRIP_TIME_FORMAT,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a declared schema (never inferred: inference is an extra pass).
 
     PERMISSIVE turns unparsable fields into NULL, DROPMALFORMED drops the
-    record (see ``_well_formed``), FAILFAST stops the job.
+    record (see ``_well_formed``), FAILFAST stops the job. With ``header`` the first
+    line of each file is left out. With ``multi_line`` quoted fields may hold line
+    breaks; a file is then read by one task, record by record.
     """
     mode = mode.upper()
     if mode not in READ_MODES:
         raise ValueError(f"mode must be one of {READ_MODES}")
     if mode == "DROPMALFORMED":
-        return _well_formed(read_text(spark, path), schema, header, timestamp_format)
+        if header or multi_line:
+            return _well_formed_records(spark, path, schema, header, timestamp_format, multi_line)
+        return _well_formed(read_text(spark, path), schema, timestamp_format)
     return (
         spark.read.schema(schema)
         .option("header", header)
+        .option("multiLine", multi_line)
         .option("mode", mode)
         .option("timestampNTZFormat", timestamp_format)
         .option("timestampFormat", timestamp_format)
@@ -56,7 +62,43 @@ def read_csv(
     )
 
 
-def _well_formed(lines: DataFrame, schema: T.StructType, header: bool, timestamp_format: str) -> DataFrame:
+def _corrupt_name(schema: T.StructType) -> str:
+    bad = "_malformed"
+    while bad in schema.names:
+        bad += "_"
+    return bad
+
+
+def _well_formed_records(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool, timestamp_format: str, multi_line: bool
+) -> DataFrame:
+    """The well-formed records of CSV files, by the file reader's own notion of
+    a record, which knows where a file begins and which line breaks are quoted.
+
+    Every column is asked for in the filter on the corrupt-record field, whatever
+    the query on top selects, and the reader's own pruning is off: it would
+    otherwise look only at the fields a query needs and find other records
+    malformed.
+    """
+    bad = _corrupt_name(schema)
+    full = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    records = (
+        spark.read.schema(full)
+        .option("header", header)
+        .option("enforceSchema", True)
+        .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", bad)
+        .option("timestampNTZFormat", timestamp_format)
+        .option("timestampFormat", timestamp_format)
+        .csv(path)
+    )
+    asked = F.concat_ws("", *[F.col(f"`{c}`").isNull().cast("string") for c in schema.names])
+    return records.where(F.col(f"`{bad}`").isNull() & (F.length(asked) > 0)).select(*[f"`{c}`" for c in schema.names])
+
+
+def _well_formed(lines: DataFrame, schema: T.StructType, timestamp_format: str) -> DataFrame:
     """The records of CSV lines in which every field parses and the field count
     is right.
 
@@ -64,11 +106,9 @@ def _well_formed(lines: DataFrame, schema: T.StructType, header: bool, timestamp
     for, so which records it drops changes with the projection. Here a record
     is parsed whole by ``from_csv`` with a corrupt-record field, and kept if that
     is empty: any count, projection or filter on top sees the same records.
-    Records are single lines.
+    Records are single lines, and no line is a header.
     """
-    bad = "_malformed"
-    while bad in schema.names:
-        bad += "_"
+    bad = _corrupt_name(schema)
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": bad,
@@ -78,8 +118,6 @@ def _well_formed(lines: DataFrame, schema: T.StructType, header: bool, timestamp
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     full = f"{ddl}, `{bad}` string"
     records = lines.where(F.trim("value") != "")
-    if header:
-        records = records.where(F.col("value") != ",".join(schema.names))
     parsed = records.select(F.from_csv("value", full, options).alias("r"))
     return parsed.where(F.col("r").getField(bad).isNull()).select(
         *[F.col("r").getField(f.name).alias(f.name) for f in schema.fields]

@@ -29,3 +29,9 @@ VENDORS = T.StructType(
 COMPLAINT_FIELDS = ("date", "label", "comment")
 
 TRIP_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
+DOCUMENTS = T.StructType([
+    T.StructField("doc_id", T.LongType()),
+    T.StructField("lang", T.StringType()),
+    T.StructField("text", T.StringType()),
+])

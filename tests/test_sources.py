@@ -74,3 +74,90 @@ def test_parquet_round_trip(spark):
     back = readers.read_parquet(spark, out)
     assert back.schema == df.schema
     assert back.collect() == df.collect()
+
+
+NOTES = schemas.T.StructType([
+    schemas.T.StructField("id", schemas.T.LongType()), schemas.T.StructField("note", schemas.T.StringType()),
+    schemas.T.StructField("cost", schemas.T.DoubleType()),
+])
+
+
+def _notes(spark, **files):
+    d = tempfile.mkdtemp(prefix="tessera-test-")
+    for name, text in files.items():
+        with open(os.path.join(d, f"{name}.csv"), "w", newline="") as fh:
+            fh.write(text)
+    return readers.read_csv(spark, d, NOTES, mode="DROPMALFORMED", header=True, multi_line=True)
+
+
+def test_records_that_span_lines_are_dropped_whole_or_not_at_all(spark):
+    df = _notes(
+        spark,
+        a='id,note,cost\n1,"two\nlines, one record",1.5\nx,"bad\nid",2\n2,plain,3\n3,"broken cost\n",z\n4,short\n',
+        b='id,note,cost\n5,"a \\"quote\n\nand blank",4\nid,note,cost\n6,"extra",1,2\n7,,\n',
+    )
+    want = {1: "two\nlines, one record", 2: "plain", 7: None}
+    rows = df.collect()
+    got = {r.id: r.note for r in rows}
+    five = got.pop(5)
+    assert got == want and len(rows) == 4 and "and blank" in five
+    # Any projection, filter or count sees the same records.
+    assert df.count() == 4 and sorted(r.id for r in df.select("id").collect()) == [1, 2, 5, 7]
+    assert df.select("note").count() == 4 and df.where("cost > 1").select("note").count() == 3
+    assert df.agg({"cost": "sum"}).first()[0] == 8.5
+
+
+def test_only_the_first_line_of_a_file_is_its_header(spark):
+    d = tempfile.mkdtemp(prefix="tessera-test-")
+    for name in ("a", "b"):
+        with open(os.path.join(d, f"{name}.csv"), "w") as fh:
+            fh.write("trip_id,vendor_id\n1,A\ntrip_id,vendor_id\n2,B,3\n")
+    df = readers.read_csv(spark, d, schemas.VENDORS, mode="DROPMALFORMED", header=True)
+    assert sorted(map(tuple, df.collect())) == [("1", "A"), ("1", "A"), ("trip_id", "vendor_id"), ("trip_id", "vendor_id")]
+    assert df.count() == 4 and df.select("vendor_id").count() == 4
+    assert readers.read_csv(spark, d, schemas.VENDORS, mode="DROPMALFORMED").count() == 6
+
+
+def _row_groups_read(path, low_long, high_long, low_lat, high_lat):
+    """(row groups whose statistics meet the box, all row groups)."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    met = every = 0
+    for f in glob.glob(f"{path.removeprefix('file:')}/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        names = meta.schema.to_arrow_schema().names
+        for g in range(meta.num_row_groups):
+            stats = [meta.row_group(g).column(names.index(c)).statistics for c in ("trip_start_long", "trip_start_lat")]
+            every += 1
+            met += all(s.max >= lo and s.min <= hi for s, lo, hi in zip(stats, (low_long, low_lat), (high_long, high_lat)))
+    return met, every
+
+
+def test_clustered_files_let_a_box_query_skip_row_groups(spark):
+    from tessera.session import shared_path
+    from tessera.sources import fixtures as fx
+    from tessera.sources.sinks import csv_to_clustered, write_parquet
+
+    csv = fx.trips_csv_path(spark, "/root/testdata/sf0.01")
+    near = csv_to_clustered(spark, csv, shared_path(spark, "t-near"), rows_per_file=50)
+    trips = readers.read_csv(spark, csv, schemas.TRIPS, mode="DROPMALFORMED")
+    far = write_parquet(trips.repartition(50), shared_path(spark, "t-far"))
+    assert sorted(map(tuple, spark.read.parquet(near).collect())) == sorted(map(tuple, trips.collect()))
+    box = (-74.5, -73.0, 40.0, 41.5)
+    met, every = _row_groups_read(near, *box)
+    met_far, every_far = _row_groups_read(far, *box)
+    assert met_far == every_far and every >= 40 and met <= every / 4, (met, every)
+    # Without the rows outside the bounding box, of which there are many.
+    met, _ = _row_groups_read(near, -80.0, -71.0, 40.0, 45.0)
+    assert met < 0.75 * every, (met, every)
+
+
+def test_z_order_of_borders_nulls_and_neighbours(spark):
+    from tessera.functions.geo import z_order
+
+    rows = [(0.0, 0.0), (1.0, 1.0), (-5.0, 9.0), (None, 0.5), (0.5, None), (0.99, 0.0)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    got = [r.z for r in df.select(z_order("x", "y", (0.0, 1.0), (0.0, 1.0), 2).alias("z")).collect()]
+    assert got == [0, 15, 10, None, None, 5]
