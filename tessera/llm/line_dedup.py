@@ -107,24 +107,25 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, text: str = "text",
     ``n_dropped`` (long) and ``kept`` (the other lines joined by newline)."""
     frequent = build_runs(docs, min_docs, text, batches, fan_in).frequent()
     col = F.col(text)
-    # Which frequent lines each distinct text has: semi-join on the line hash
-    # (a hot line's partition is split by AQE), then one small set per text.
+    # Where each distinct text has frequent lines: semi-join on the line hash
+    # (a hot line's partition is split by AQE), then the places per text.
+    placed = F.posexplode(F.transform(line_keys(col), lambda x: F.when(x != "", _hash(x)))).alias("place", "h")
     hits = (
-        docs.select(*text_key(col), F.explode(_distinct_hashes(line_keys(col))).alias("h"))
-        .select("k1", "k2", "h.h1", "h.h2")
+        docs.select(*text_key(col), placed)
+        .where("h IS NOT NULL")
+        .select("k1", "k2", "place", "h.h1", "h.h2")
         .join(frequent, ["h1", "h2"], "left_semi")
         .groupBy("k1", "k2")
-        .agg(F.collect_set(F.struct("h1", "h2")).alias("bad"))
+        .agg(F.collect_set("place").alias("bad"))
     )
     rows = docs.select(F.struct(*docs.columns).alias("row"), *text_key(col))
     body = F.coalesce(F.col("row").getField(text), F.lit(""))
     lines = F.split(body, "\n", -1)
-    kept_lines = F.transform(
-        F.filter(
-            F.arrays_zip(lines.alias("line"), line_keys(body).alias("key")),
-            lambda x: (x["key"] == "") | ~F.array_contains(F.col("bad"), _hash(x["key"])),
-        ),
-        lambda x: x["line"],
+    # The other places in order, by a hash set; the lines are bound to a name,
+    # so that a text is split once. Linear in the number of lines.
+    others = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("bad"))
+    kept_lines = F.get(
+        F.transform(F.array(F.struct(lines.alias("lines"), others.alias("places"))), lambda x: F.transform(x["places"], lambda p: F.get(x["lines"], p))), 0
     )
     n_lines = F.size(lines).cast("long")
     return (

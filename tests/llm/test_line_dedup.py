@@ -45,3 +45,12 @@ def test_runs_are_compacted_and_settled_keys_stop(spark):
     totals = {(r.h1, r.h2): r.n_docs for r in runs.totals().collect()}
     assert totals[1, 1] == 4  # reached 3 after two batches; later ones add nothing
     assert [tuple(r) for r in runs.frequent().collect()] == [(1, 1)]
+
+
+def test_texts_of_very_many_frequent_lines(spark):
+    """Work is linear in the lines of a text: this would otherwise take minutes."""
+    common = [f"frequent line {i}" for i in range(24_000)]
+    rows = [(d, "\n".join([f"own {d}", *common, "", *common[d:500], f"end {d}"])) for d in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = line_dedup.drop_frequent_lines(docs).select("row.doc_id", "n_lines", "n_dropped", "kept").collect()
+    assert sorted(map(tuple, got)) == [(d, 24_003 + 500 - d, 24_500 - d, f"own {d}\n\nend {d}") for d in range(10)]
