@@ -82,6 +82,65 @@ def test_many_sources_of_short_texts_meet_their_targets(spark):
     assert len(target) == 150 and all(abs(taken[s] - target[s]) <= 2 for s in target)
 
 
+def test_quotas_of_shards_are_differences_of_apportionments(spark):
+    import random
+
+    rnd = random.Random(8)
+    targets = [(f"s{i}", rnd.choice([0.0, 63.9, 640.0, 1280.0, 3200.0, rnd.uniform(1, 9000)])) for i in range(25)] + [(None, 3200.0)]
+    got = {}
+    df = spark.createDataFrame(targets, "source string, target double")
+    for r in mixing.block_quotas(df, 64, 40).collect():
+        got.setdefault(r.shard, {})[r.source] = r.blocks
+    live = sorted(((s, t) for s, t in targets if t > 0), key=lambda x: x[0] or "~")
+    full, votes = [int(t // 64) for _, t in live], [t for _, t in live]
+    shards, last = -(-sum(full) // 40), [0] * len(live)
+    assert sorted(got) == list(range(1, shards + 1)) and shards > 10
+    for i in range(1, shards + 1):
+        seats = apportion(votes, full, min(40 * i, sum(full)))
+        assert got[i] == {s: a - b for (s, _), a, b in zip(live, seats, last)}
+        last = seats
+    words = {r.source: r.words for r in mixing.source_words(df, 64, 40).collect()}
+    assert all(abs(words[s] - t) <= 1 for s, t in targets) and abs(sum(words.values()) - sum(t for _, t in targets)) <= 1
+
+
+def test_taken_equals_brute_force_over_words(spark):
+    """Every word of a source's stream, block by block."""
+    import hashlib
+    import random
+
+    rnd = random.Random(3)
+    rows = [(i, "w " * rnd.choice([0, 1, 7, 64, 200, 900]), rnd.choice("aaaabc")) for i in range(400)] + [(9000, "w " * 5000, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.row.doc_id: r.taken for r in mixing.mix(docs, block=16, house=50).collect()}
+    size = {i: len(t.split()) for i, t, _ in rows}
+    total = {s: sum(size[i] for i, _, z in rows if z == s) for s in "abc"}
+    words = {r.source: r.words for r in mixing.source_words(
+        spark.createDataFrame(list(water_fill(total).items()), "source string, target double"), 16, 50).collect()}
+    ord_of = {i: hashlib.md5(f"{mixing.SEED}|{i}|{t}".encode()).hexdigest() for i, t, _ in rows}
+    n_decks = -(-len(rows) // mixing.DECK_DOCS)
+    picks = {}
+    for s in "abc":
+        stream = sorted((i for i, _, z in rows if z == s), key=lambda i: (int(ord_of[i][:12], 16) % n_decks, ord_of[i]))
+        owner = [i for i in stream for _ in range(size[i])]
+        n, over = len(owner), words[s] % len(owner)
+        chosen, rest = divmod(over, 16)
+        usable = n // 16 - (rest > n % 16)
+        edges = [-(-usable * j // chosen) for j in range(chosen + 1)] if chosen else []
+        if chosen:
+            df = spark.range(chosen).selectExpr(f"xxhash64('{mixing.SEED}', '={s}', id) h", "id").orderBy("id")
+            picks[s] = [lo + r.h % (hi - lo) for r, lo, hi in zip(df.collect(), edges, edges[1:])]
+        taken = dict.fromkeys(stream, 0)
+        for i in owner:
+            taken[i] += words[s] // n
+        for b in picks.get(s, []):
+            for i in owner[16 * b : 16 * b + 16]:
+                taken[i] += 1
+        for i in owner[16 * usable : 16 * usable + rest]:
+            taken[i] += 1
+        assert {i: got[i] for i in stream} == taken
+        assert sum(taken.values()) == words[s]
+
+
 def test_many_equal_quotients(spark):
     rows = [(0, f"s{i:03d}", 4, (7.5, 3.0, 1.5)[i % 3]) for i in range(90)]
     cells = spark.createDataFrame(rows, "shard long, source string, blocks long, votes double")
