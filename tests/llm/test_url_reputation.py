@@ -43,6 +43,33 @@ def test_reputation_shrinks_and_blocks(spark):
     assert rate["good.a.com"] < rate["unseen.a.com"] < rate["bad.a.com"]
 
 
+def test_domains_of_hosts(spark):
+    exp = {
+        "a.b.co.uk": ("b.co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.uk": ("y.uk", "uk"),
+        "m.a.com": ("a.com", "com"), "com": ("com", "com"), "": ("", ""), "10.0.0.1": ("10.0.0.1", "(address)"), "a.": ("a.", ""),
+    }
+    hosts = spark.createDataFrame([(h,) for h in exp], "host string")
+    assert {r[0]: (r[1], r[2]) for r in hosts.select("host", *ur.tree(F.col("host"))).collect()} == exp
+    assert hosts.select(ur.tree(F.lit("m.a.b.c"), ("b.c",))[0]).first()[0] == "a.b.c"
+    named = spark.createDataFrame([("u:p@a.com:80", "a.com"), ("a.com:", "a.com"), ("a.com", "a.com")], "host string, exp string")
+    assert named.where(ur.bare(F.col("host")) == F.col("exp")).count() == 3
+
+
+def test_ports_share_a_host_and_owners_of_a_suffix_do_not(spark):
+    """One bad owner under co.uk does not speak for another one."""
+    urls = [(k, f"http://bad.co.uk:{8000 + k % 2}/{k}") for k in range(60)] + [(100 + k, f"http://good.co.uk/{k}") for k in range(60)]
+    got = judged(spark, urls, [(i, int(i >= 100), 0) for i, _ in urls])
+    assert {r.n_labels for r in got.values()} == {60}
+    assert {r.host: r.verdict for r in got.values()} == {"bad.co.uk:8000": "block", "bad.co.uk:8001": "block", "good.co.uk": "allow"}
+
+
+def test_levels_are_stored(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    plan = ur.judge(pages, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Aggregate" not in plan
+
+
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
