@@ -3,10 +3,11 @@
 Pattern spans are the leftmost non-overlapping matches of each kind. Entropy
 spans are candidate strings (runs of 20 or more token characters) in which
 some window of ``WIDTH`` characters has a Shannon entropy of at least the bound of
-the candidate's character class. The entropy is kept by incremental counts: per
-step one character enters and one leaves the window, and the sum of c*log2(c)
-changes by table look-ups at those two counts (in integers, so no error adds
-up). Candidates on the allow-list, or over a pattern span, are suppressed.
+the candidate's character class. The entropy is kept by incremental counts: a
+table of counts, one place per symbol, travels with the window; per step the
+count of the entering symbol goes up and that of the leaving one down, and the sum
+of c*log2(c) changes by table look-ups at those two counts (in integers, so no
+error adds up). Candidates on the allow-list, or over a pattern span, are suppressed.
 
 All positions are code points, end exclusive. The positions of all matches of
 a text follow from the lengths of the pieces between them by two-level prefix
@@ -20,6 +21,7 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,7 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # the runs of [0-9a-f]+ that have 24 characters or more
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+SYMBOLS = string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/_=-"
 
 # Character classes of candidates: (name, pattern, least bits per character).
 # The first that fits holds; a candidate that fits none is not a secret.
@@ -94,30 +97,58 @@ def _entropy_sum(count: Column) -> Column:
 
 
 def _least_sum(s: Column) -> Column:
-    """Smallest sum of c*log2(c) of any full window of ``s`` (ASCII)."""
-
-    def count(window: Column, ch: Column) -> Column:
-        return F.length(window) - F.length(F.replace(window, ch, F.lit("")))
-
-    def step(acc: Column, entering: Column) -> Column:
-        window = acc["window"]
-        seen = count(window, entering)
-        full = F.length(window) == WIDTH
-        leaving = F.substr(window, F.lit(1), F.lit(1))
-        kept = count(F.concat(window, entering), leaving)
-        total = (
-            acc["total"]
-            + _entropy_sum(seen + 1)
-            - _entropy_sum(seen)
-            + F.when(full, _entropy_sum(kept - 1) - _entropy_sum(kept)).otherwise(F.lit(0))
+    """Smallest sum of c*log2(c) of any full window of ``s`` (of SYMBOLS only).
+
+    The counts are a string with one character per symbol, "A" for 0, "B" for 1,
+    and so on, read and set at the symbol's place.
+    """
+
+    def place(ch: Column) -> Column:
+        return F.position(ch, F.lit(SYMBOLS))
+
+    def count(counts: Column, ch: Column) -> Column:
+        return F.ascii(F.substr(counts, place(ch), F.lit(1))) - ord("A")
+
+    def put(counts: Column, ch: Column, n: Column) -> Column:
+        return F.overlay(counts, F.char(n + ord("A")), place(ch), F.lit(1))
+
+    def enter(acc: Column, ch: Column) -> Column:
+        seen = count(acc["counts"], ch)
+        return F.struct(
+            F.concat(acc["window"], ch).alias("window"),
+            put(acc["counts"], ch, seen + 1).alias("counts"),
+            (acc["total"] + _entropy_sum(seen + 1) - _entropy_sum(seen)).alias("total"),
+            acc["least"].alias("least"),
+        )
+
+    def leave(acc: Column) -> Column:
+        ch = F.substr(acc["window"], F.lit(1), F.lit(1))
+        seen = count(acc["counts"], ch)
+        return F.struct(
+            F.substr(acc["window"], F.lit(2), F.lit(WIDTH)).alias("window"),
+            put(acc["counts"], ch, seen - 1).alias("counts"),
+            (acc["total"] + _entropy_sum(seen - 1) - _entropy_sum(seen)).alias("total"),
+            acc["least"].alias("least"),
         )
-        moved = F.concat(F.when(full, F.substr(window, F.lit(2), F.lit(WIDTH))).otherwise(window), entering)
-        done = F.length(window) >= WIDTH - 1
-        least = F.when(done, F.least(acc["least"], total)).otherwise(acc["least"])
-        return F.struct(moved.alias("window"), total.alias("total"), least.alias("least"))
 
-    start = F.struct(F.lit("").alias("window"), F.lit(0).alias("total"), F.lit(1 << 30).alias("least"))
-    return F.aggregate(F.split(s, ""), start, step, lambda acc: acc["least"])
+    def step(acc: Column, ch: Column) -> Column:
+        # An empty string stands for "a symbol leaves", if the window is full.
+        full = F.length(acc["window"]) == WIDTH
+        return F.when(ch != "", enter(acc, ch)).when(full, leave(acc)).otherwise(acc)
+
+    def measured(acc: Column, ch: Column) -> Column:
+        done = (ch == "") & (F.length(acc["window"]) == WIDTH)
+        return F.struct(
+            acc["window"].alias("window"), acc["counts"].alias("counts"), acc["total"].alias("total"),
+            F.when(done, F.least(acc["least"], acc["total"])).otherwise(acc["least"]).alias("least"),
+        )
+
+    start = F.struct(
+        F.lit("").alias("window"), F.lit("A" * len(SYMBOLS)).alias("counts"), F.lit(0).alias("total"), F.lit(1 << 30).alias("least")
+    )
+    # symbol, "", symbol, "", ...: each symbol enters, then the oldest one leaves.
+    moves = F.flatten(F.transform(F.split(s, ""), lambda ch: F.array(ch, F.lit(""))))
+    return F.aggregate(moves, start, lambda acc, ch: step(measured(acc, ch), ch), lambda acc: acc["least"])
 
 
 def _random_looking(s: Column) -> Column:

@@ -62,3 +62,11 @@ def test_tables(spark, empty):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     same(ss.digest(docs), [(r.doc_id, *brute(r.text)) for r in docs.collect()])
     assert ss.digest(empty).count() == 0
+
+
+def test_columns_that_clash_with_internal_names(spark):
+    rows = [(None, t) for t in TEXTS[:5]] + [(7, t) for t in TEXTS[5:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("body", "base", "maybe", "found", "assign_hits", "hex_starts", "entropy_gaps", "window", "counts"):
+        docs = docs.selectExpr("*", f"1 AS {name}")
+    same(ss.digest(docs), [(i, *brute(t)) for i, t in rows])
