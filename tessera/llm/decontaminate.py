@@ -7,12 +7,13 @@ automaton has at most 13 nodes per window, and a document is one string that
 is scanned once; matched word positions are mapped back to character offsets
 of the original text.
 
-The automaton holds at most ``SHARD_WORDS`` benchmark words. A larger
-benchmark is dealt into several automata of that size (an item that is longer
-is cut into pieces that overlap by a window less one word), and a document is
-scanned once by each; nothing is lost. The words of the whole benchmark pass
-through the driver and are sent to the executors, so this is meant for
-benchmarks, not corpora. There is no shuffle: documents never move.
+The automaton holds at most ``SHARD_WORDS`` benchmark words: that is all the
+driver and a task ever hold of the benchmark. One that fits is found in a single
+pass with no shuffle. A larger one is read shard by shard (an item that is longer
+than a shard is cut into pieces that overlap by a window less one word), one pass
+over the documents for each; a pass writes the word runs and items of the texts
+it hits, keyed by 128 bits of the text, and the runs of all passes are united.
+Documents stay where they are in a pass; at the end ids meet hits by that key.
 
 Defined results: null text has no words; an item without words has no window;
 an item shorter than the window is one window of its own length; items with a
@@ -24,11 +25,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm._common import scratch, text_key
 from tessera.llm._tokens import slices, texts_of
 
 WINDOW = 13
@@ -43,6 +46,7 @@ for _b in range(ord("A"), ord("Z") + 1):
 _TABLE = bytes(_TABLE)
 _FIRST_CHAR = 0xE000  # private-use area and beyond: no surrogates
 _UNKNOWN = "\x00"
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -50,7 +54,7 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 def _word_spans(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)]
+    return [m.span() for m in re.finditer(_WORD, text)]
 
 
 class Automaton:
@@ -85,18 +89,26 @@ class Automaton:
             yield end - length + 1, end + 1, ids
 
 
-def scan(text: bytes | None, automata: list[Automaton]) -> tuple[int, int, list, list]:
+def unite(runs: list) -> list[list[int]]:
+    """Word runs ``(first, end, ...)`` in order, those that touch made one; further
+    fields are a start and an end that go with them."""
+    out: list[list[int]] = []
+    for run in sorted(runs):
+        if out and run[0] <= out[-1][1]:
+            if run[1] > out[-1][1]:
+                out[-1][1::2] = run[1::2]
+        else:
+            out.append(list(run))
+    return out
+
+
+def scan(text: bytes | None, automaton: Automaton) -> tuple[int, int, list, list]:
     """(n_words, n_hit, item ids, word runs hit) of one text."""
     ws = words(text)
-    found = [m for a in automata for m in a.find(ws)]
+    found = list(automaton.find(ws))
     if not found:
         return len(ws), 0, [], []
-    runs: list[list[int]] = []
-    for start, end, _ in sorted(found, key=lambda m: m[:2]):
-        if runs and start <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], end)
-        else:
-            runs.append([start, end])
+    runs = unite([m[:2] for m in found])
     items = sorted({i for _, _, ids in found for i in ids if i is not None})
     return len(ws), sum(e - s for s, e in runs), items, runs
 
@@ -119,38 +131,101 @@ def _pieces(text: bytes, window: int) -> Iterator[tuple[bytes, int]]:
 
 def load_items(
     benchmark: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW
-) -> list[list[tuple[str | None, bytes]]]:
-    """Benchmark items in shards of at most ``SHARD_WORDS`` words; fetched row by row."""
+) -> Iterator[list[tuple[str | None, bytes]]]:
+    """Benchmark items in shards of at most ``SHARD_WORDS`` words, one in memory at a time."""
     rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("binary").alias("t")).where("t IS NOT NULL").distinct()
-    shards, size = [[]], 0
-    for row in rows.toLocalIterator():
+    shard, size = [], 0
+    for row in scratch(rows, "dc-items").toLocalIterator():
         for piece, n in _pieces(bytes(row.t), window):
-            if shards[-1] and size + n > SHARD_WORDS:
-                shards.append([])
-                size = 0
-            shards[-1].append((row.i, piece))
+            if shard and size + n > SHARD_WORDS:
+                yield shard
+                shard, size = [], 0
+            shard.append((row.i, piece))
             size += n
-    return shards
+    yield shard
 
 
-def _scanner(shards, text: str, window: int, emit):
+def _scanner(items, text: str, window: int, emit):
     def run(batches):
-        automata = [Automaton(items, window) for items in shards]
+        automaton = Automaton(items, window)
         for batch in slices(batches, text):
-            yield emit(batch, [(t, scan(t, automata)) for t in texts_of(batch, text)])
+            yield emit(batch, [(t, scan(t, automaton)) for t in texts_of(batch, text)])
 
     return run
 
 
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_RUNS = "array<struct<first:bigint,last:bigint,start:bigint,end:bigint>>"
+_RUN = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")]))
+
+
+def _offsets(text: bytes, runs: list) -> list[tuple[int, int]]:
+    """Code points ``[start, end)`` of word runs."""
+    at = _word_spans(text.decode()) if runs else []
+    return [(at[first][0], at[end - 1][1]) for first, end in runs]
+
+
+def _shards(benchmark: DataFrame, window: int) -> tuple[list, Iterator | None]:
+    """The only shard and None, or an empty list and all shards."""
+    shards = load_items(benchmark, window=window)
+    first = next(shards)
+    second = next(shards, None)
+    return (first, None) if second is None else ([], chain([first, second], shards))
+
+
+def _hit_texts(docs: DataFrame, shards: Iterator, text: str, window: int) -> DataFrame:
+    """k1, k2 (the key of a text), n_hit, items, contaminated and spans of the texts
+    that any shard hits: one pass over the texts for each shard."""
+
+    def emit(batch, scanned):
+        hit = [i for i, (_, found) in enumerate(scanned) if found[1]]
+        rows = batch.take(pa.array(hit, pa.int64()))
+        runs = []
+        for t, (_, _, _, words_hit) in (scanned[i] for i in hit):
+            both = zip(words_hit, _offsets(t, words_hit))
+            runs.append([{"first": f, "last": e, "start": a, "end": b} for (f, e), (a, b) in both])
+        found = [scanned[i][1] for i in hit]
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0), rows.column(1), pa.array([f[0] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.list_(pa.string())), pa.array(runs, _RUN)],
+            names=["k1", "k2", "n_words", "items", "runs"],
+        )
+
+    def join_runs(batches):
+        for batch in batches:
+            runs = [unite([tuple(r.values()) for r in row]) for row in batch.column(4).to_pylist()]
+            n_hit = [sum(r[1] - r[0] for r in row) for row in runs]
+            bad = [contaminated(n, h) for n, h in zip(batch.column(2).to_pylist(), n_hit)]
+            spans = [[{"start": r[2], "end": r[3]} for r in row] for row in runs]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(n_hit, pa.int64()), batch.column(3), pa.array(bad, pa.bool_()), pa.array(spans, _SPANS)],
+                names=["k1", "k2", "n_hit", "items", "contaminated", "spans"],
+            )
+
+    texts = docs.select(*text_key(F.col(text)), F.col(text).alias("text"))
+    schema = f"k1 bigint, k2 bigint, n_words bigint, items array<string>, runs {_RUNS}"
+    hits = None
+    for items in shards:
+        found = texts.mapInArrow(_scanner(items, "text", window, emit), schema)
+        found = scratch(found.dropDuplicates(["k1", "k2"]), "dc-hits")
+        hits = found if hits is None else hits.unionAll(found)
+    # At most one row per text and shard.
+    one = hits.groupBy("k1", "k2").agg(
+        F.first("n_words").alias("n_words"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.flatten(F.collect_list("runs")).alias("runs"),
+    )
+    return scratch(
+        one.mapInArrow(join_runs, "k1 bigint, k2 bigint, n_hit bigint, items array<string>, contaminated boolean, spans array<struct<start:bigint,end:bigint>>"),
+        "dc-texts",
+    )
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """Per document: id, n_words, n_hit, items (sorted strings), contaminated and
     spans (code-point ``[start, end)`` of each run of hit words)."""
 
     def emit(batch, scanned):
-        spans = []
-        for t, (_, _, _, runs) in scanned:
-            at = _word_spans(t.decode()) if runs else []
-            spans.append([{"start": at[s][0], "end": at[e - 1][1]} for s, e in runs])
+        spans = [[{"start": a, "end": b} for a, b in _offsets(t, found[3])] for t, found in scanned]
         counts = [s for _, s in scanned]
         return pa.RecordBatch.from_arrays(
             [
@@ -159,15 +234,25 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
                 pa.array([s[1] for s in counts], pa.int64()),
                 pa.array([s[2] for s in counts], pa.list_(pa.string())),
                 pa.array([contaminated(s[0], s[1]) for s in counts], pa.bool_()),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                pa.array(spans, _SPANS),
             ],
             names=[doc_id, "n_words", "n_hit", "items", "contaminated", "spans"],
         )
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"`{doc_id}` {kind}, n_words bigint, n_hit bigint, items array<string>, contaminated boolean, spans array<struct<start:bigint,end:bigint>>"
-    run = _scanner(load_items(benchmark, window=window), text, window, emit)
-    return docs.select(doc_id, text).mapInArrow(run, schema)
+    only, shards = _shards(benchmark, window)
+    if shards is None:
+        kind = docs.schema[doc_id].dataType.simpleString()
+        schema = f"`{doc_id}` {kind}, n_words bigint, n_hit bigint, items array<string>, contaminated boolean, spans array<struct<start:bigint,end:bigint>>"
+        return docs.select(doc_id, text).mapInArrow(_scanner(only, text, window, emit), schema)
+    n_words = F.coalesce(F.regexp_count(F.col(text), F.lit(_WORD)), F.lit(0)).cast("long")
+    ids = docs.select(F.col(doc_id).alias("own_id"), n_words.alias("n_words"), *text_key(F.col(text)))
+    found = ids.join(_hit_texts(docs, shards, text, window), ["k1", "k2"], "left")
+    return found.select(
+        F.col("own_id").alias(doc_id), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("contaminated", F.lit(False)).alias("contaminated"),
+        F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"),
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -176,7 +261,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     def emit(batch, scanned):
         return batch.filter(pa.array([not contaminated(s[0], s[1]) for _, s in scanned], pa.bool_()))
 
-    return docs.mapInArrow(_scanner(load_items(benchmark, window=window), text, window, emit), docs.schema)
+    only, shards = _shards(benchmark, window)
+    if shards is None:
+        return docs.mapInArrow(_scanner(only, text, window, emit), docs.schema)
+    bad = _hit_texts(docs, shards, text, window).where("contaminated").select("k1", "k2")
+    rows = docs.select(F.struct("*").alias("row"), *text_key(F.col(text)))
+    return rows.join(bad, ["k1", "k2"], "left_anti").select("row.*")
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -43,9 +43,19 @@ def test_equals_brute_force(spark, odd):
 def test_shards_give_the_same(spark, odd, monkeypatch):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     whole = dc.digest(odd, bench).collect()
+    spans = dc.find_contamination(odd, bench).collect()
+    kept = dc.drop_contaminated(odd, bench).collect()
     monkeypatch.setattr(dc, "SHARD_WORDS", 2)
-    assert len(dc.load_items(bench)) > 2
+    assert len(list(dc.load_items(bench))) > 2
     same(dc.digest(odd, bench), whole)
+    same(dc.find_contamination(odd, bench), spans)
+    same(dc.drop_contaminated(odd, bench), kept)
+
+
+def test_runs_of_several_shards_are_united():
+    assert dc.unite([(5, 9, 50, 90), (0, 3, 1, 30), (2, 5, 20, 51), (6, 8, 60, 80), (12, 13, 1, 2)]) == [
+        [0, 9, 1, 90], [12, 13, 1, 2]]
+    assert dc.unite([]) == []
 
 
 def test_offsets_point_into_the_original(spark):
@@ -70,10 +80,14 @@ def test_a_long_item_is_cut_into_overlapping_pieces(spark, odd, monkeypatch):
     items = [*ITEMS, (7, " ".join(f"w{i % 977}x{i % 31}" for i in range(500)))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     whole = brute([(r.doc_id, r.text) for r in odd.collect()], items)
-    for most in (1, 13, 14, 40):
+    for most in (1, 13, 14, 40, 200):
         monkeypatch.setattr(dc, "SHARD_WORDS", most)
-        assert all(sum(len(dc.words(t)) for _, t in s) <= max(most, 13) for s in dc.load_items(bench) if len(s) > 1)
-        same(dc.digest(odd, bench), whole)
+        shards = list(dc.load_items(bench))
+        assert all(sum(len(dc.words(t)) for _, t in s) <= max(most, 13) for s in shards if len(s) > 1)
+        windows = {tuple(w[a : a + 13]) for s in shards for _, t in s for w in [dc.words(t)] for a in range(max(1, len(w) - 12)) if w}
+        assert windows == {tuple(w[a : a + 13]) for _, t in items for w in [dc.words((t or "").encode())] for a in range(max(1, len(w) - 12)) if w}
+        if most >= 40:
+            same(dc.digest(odd, bench), whole)
 
 
 def test_more_distinct_words_than_code_points():
