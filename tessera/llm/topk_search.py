@@ -15,9 +15,12 @@ vector whose upper bound is under the k-th best lower bound is proved out. The
 levels stop only when few enough vectors are left; those possible members are
 scored exactly, in integers. There is no approximation.
 
-Vectors are dealt to blocks of about ``BLOCK_ROWS`` and queries to groups of about
-``GROUP_ROWS``; every (block, group) cell is one task's work of bounded size, and
-returns at most k rows per query, which are merged by a window per query.
+Vectors are dealt by length to blocks of at most about ``BLOCK_ROWS`` vectors and
+``BLOCK_CELLS`` components. Each vector is shuffled once, to its block, whose index is
+built once; the queries are shuffled to every block (queries times blocks, as the
+work is) and stream past the index, some at a time, so a task holds one block
+and one batch of queries. A block returns at most k rows per query, which are
+merged by a window per query.
 
 Defined results: vectors that are null, empty or hold a null or non-finite
 component, and rows without an id, take no part; a query never finds its own
@@ -29,8 +32,10 @@ empty results; other columns are not read.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +44,9 @@ from tessera.llm._common import scratch
 K = 5
 BANDS = 64
 BLOCK_ROWS = 4096
-GROUP_ROWS = 256
+BLOCK_CELLS = 1 << 22
 AT_ONCE = 128  # queries that share an accumulator table
+QUERY_CELLS = 1 << 20  # components of the queries handled at once
 FEW = 64  # stop when on average this many vectors per query are possible
 
 
@@ -50,14 +56,18 @@ class Index:
     def __init__(self, x: np.ndarray, bands: int = BANDS):
         """x: (vectors, dimensions) int64."""
         self.x, self.bands = x, bands
-        lo, hi = x.min(axis=0), x.max(axis=0)
-        self.steps = (hi - lo) // bands + 1
-        self.lists = []
-        for impacts in (x - lo, hi - x):
+        self.lo, self.hi = x.min(axis=0), x.max(axis=0)
+        self.steps = (self.hi - self.lo) // bands + 1
+
+    @cached_property
+    def lists(self) -> list:
+        out, bands = [], self.bands
+        for impacts in (self.x - self.lo, self.hi - self.x):
             levels = impacts // self.steps
             order = np.argsort(-levels, axis=0, kind="stable").astype(np.int32)
-            cuts = [np.searchsorted(-levels[order[:, d], d], -np.arange(bands, -1, -1)) for d in range(x.shape[1])]
-            self.lists.append((order, cuts))
+            cuts = [np.searchsorted(-levels[order[:, d], d], -np.arange(bands, -1, -1)).astype(np.int32) for d in range(levels.shape[1])]
+            out.append((order, cuts))
+        return out
 
     def _segment(self, direction: int, d: int, level: int) -> np.ndarray:
         order, cuts = self.lists[direction]
@@ -91,47 +101,91 @@ class Index:
                 break
         ids, queries = np.nonzero(possible)
         score = np.empty(len(ids), np.int64)
-        for lo in range(0, len(ids), 1 << 16):
-            part = slice(lo, lo + (1 << 16))
+        some = max(1, BLOCK_CELLS // self.x.shape[1])
+        for lo in range(0, len(ids), some):
+            part = slice(lo, lo + some)
             score[part] = (self.x[ids[part]] * q[queries[part]]).sum(axis=1)
         return queries, ids, score
 
 
-def _matrix(vectors: pd.Series, dims: int) -> np.ndarray:
-    out = np.zeros((len(vectors), dims), np.int64)
-    for i, v in enumerate(vectors):
-        out[i, : len(v)] = v
+def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
+    """The vectors as rows; zeros after their end, nothing beyond ``width``."""
+    length = np.diff(vectors.offsets.to_numpy())
+    row = np.repeat(np.arange(len(vectors)), length)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+    out = np.zeros((len(vectors), width), np.int64)
+    inside = place < width
+    out[row[inside], place[inside]] = vectors.flatten().to_numpy(zero_copy_only=False)[inside]
     return out
 
 
-def _cell(dims: int, k: int):
-    """One block of vectors against one group of queries."""
-    columns = ["q_uid", "query_id", "vec_id", "score"]
-
-    def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or not len(queries):
-            return pd.DataFrame(columns=columns).astype("int64")
-        rows = rows.sort_values("uid", ignore_index=True)
-        index = Index(_matrix(rows["v"], dims))
-        uid, ids = rows["uid"].to_numpy(), rows["vec_id"].to_numpy()
-        out = []
-        for lo in range(0, len(queries), AT_ONCE):
-            some = queries.iloc[lo : lo + AT_ONCE]
-            q_uid = some["q_uid"].to_numpy()
-            at = np.minimum(np.searchsorted(uid, q_uid), len(uid) - 1)
-            own = np.where(uid[at] == q_uid, at, -1)
-            query, vector, score = index.search(_matrix(some["q"], dims), own, k)
-            order = np.lexsort((ids[vector], -score, query))
-            query, vector, score = query[order], vector[order], score[order]
-            place = np.arange(len(query)) - np.searchsorted(query, query)
-            best = place < k
-            query, vector, score = query[best], vector[best], score[best]
-            out.append(pd.DataFrame({"q_uid": q_uid[query], "query_id": some["query_id"].to_numpy()[query], "vec_id": ids[vector], "score": score}))
-        return pd.concat(out, ignore_index=True)
+class Block:
+    """The vectors of one block with their index."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by("uid").combine_chunks()
+        self.uid, self.ids = rows["uid"].to_numpy(), rows["vec_id"].to_numpy()
+        v = pa.concat_arrays(rows["v"].chunks)
+        self.width = int(np.diff(v.offsets.to_numpy()).max())
+        self.index = Index(_matrix(v, self.width))
+
+    def best(self, queries: pa.RecordBatch, k: int) -> pa.RecordBatch:
+        """The block's k best of each query: q_uid, query_id, vec_id, score."""
+        q_uid, query_id = queries["uid"].to_numpy(), queries["vec_id"].to_numpy()
+        at = np.minimum(np.searchsorted(self.uid, q_uid), len(self.uid) - 1)
+        own = np.where(self.uid[at] == q_uid, at, -1)
+        query, vector, score = self.index.search(_matrix(queries["v"], self.width), own, k)
+        order = np.lexsort((self.ids[vector], -score, query))
+        query, vector, score = query[order], vector[order], score[order]
+        keep = np.arange(len(query)) - np.searchsorted(query, query) < k
+        query, vector, score = query[keep], vector[keep], score[keep]
+        columns = (q_uid[query], query_id[query], self.ids[vector], score)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["q_uid", "query_id", "vec_id", "score"])
+
+
+def _runs(batch: pa.RecordBatch):
+    """Slices of one block and kind: (block, whether queries, slice)."""
+    b, query = batch["b"].to_numpy(), batch["query"].to_numpy(zero_copy_only=False)
+    edge = np.flatnonzero((b[1:] != b[:-1]) | (query[1:] != query[:-1])) + 1
+    for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(b)]):
+        if hi > lo:
+            yield int(b[lo]), bool(query[lo]), batch.slice(lo, hi - lo)
+
+
+def _stream(k: int):
+    """Rows sorted by block, a block's vectors before its queries."""
+
+    def run(batches):
+        now, rows, block = None, [], None
+        for batch in batches:
+            for b, query, part in _runs(batch):
+                if b != now:
+                    now, rows, block = b, [], None
+                if not query:
+                    rows.append(part)
+                    continue
+                if rows:
+                    block, rows = Block(pa.Table.from_batches(rows)), []
+                if block is None:  # no vector was dealt to this block
+                    continue
+                some = max(1, min(AT_ONCE, QUERY_CELLS // block.width))
+                for lo in range(0, len(part), some):
+                    yield block.best(part.slice(lo, some), k)
 
     return run
 
 
+def _blocks(counts: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """(first block, number of blocks) of each class of length: class c holds
+    vectors of at most 2**c components."""
+    out, first = {}, 0
+    for c, n in sorted(counts.items()):
+        blocks = -(-n // max(1, min(BLOCK_ROWS, BLOCK_CELLS >> c)))
+        out[c] = (first, blocks)
+        first += blocks
+    return out
+
+
 def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str = "embedding", k: int = K) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best.
     is_query: a condition on the column ``vec_id``."""
@@ -142,27 +196,19 @@ def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str
         .select(F.monotonically_increasing_id().alias("uid"), "vec_id", F.transform("x", lambda c: F.floor(c * 256).cast("long")).alias("v"))
     )
     rows = scratch(rows, "tk-rows")
-    n, n_queries, dims = rows.agg(
-        F.count(F.lit(1)), F.count(F.when(is_query, 1)), F.coalesce(F.max(F.size("v")), F.lit(0))
-    ).first()
-    blocks, groups = max(1, -(-n // BLOCK_ROWS)), max(1, -(-n_queries // GROUP_ROWS))
-
-    def every(count: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    def dealt(count: int):
-        return F.pmod(F.xxhash64("uid"), F.lit(count)).cast("int")
-
-    left = rows.select(dealt(blocks).alias("b"), every(groups).alias("g"), "uid", "vec_id", "v")
-    # Names of its own: both sides come from one table, and Spark would take
-    # columns of the same name for those of the left side.
-    right = rows.where(is_query).select(
-        every(blocks).alias("b"), dealt(groups).alias("g"), F.col("uid").alias("q_uid"),
-        F.col("vec_id").alias("query_id"), F.col("v").alias("q"),
-    )
-    found = left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInPandas(
-        _cell(int(dims), k), "q_uid bigint, query_id bigint, vec_id bigint, score bigint"
+    length_class = F.length(F.bin(F.size("v") - 1))
+    # One row per class: at most 31.
+    blocks = _blocks({r.c: r.n for r in rows.groupBy(length_class.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()})
+    total = max(1, sum(n for _, n in blocks.values()))
+    block = F.lit(0)
+    for c, (first, n) in blocks.items():
+        block = F.when(length_class == c, first + F.pmod(F.xxhash64("uid"), F.lit(n))).otherwise(block)
+    own = rows.select(block.cast("int").alias("b"), F.lit(False).alias("query"), "uid", "vec_id", "v")
+    asked = rows.where(is_query).select(
+        F.explode(F.sequence(F.lit(0), F.lit(total - 1))).alias("b"), F.lit(True).alias("query"), "uid", "vec_id", "v"
     )
+    dealt = own.unionAll(asked).repartitionById(total, F.col("b")).sortWithinPartitions("b", "query")
+    found = dealt.mapInArrow(_stream(k), "q_uid bigint, query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("q_uid").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

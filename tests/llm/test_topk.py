@@ -29,7 +29,7 @@ def table(spark, rows):
 @pytest.mark.parametrize("seed,spread", [(1, 1.0), (2, 0.01), (3, 30.0)])
 def test_equals_brute_force(spark, monkeypatch, seed, spread):
     monkeypatch.setattr(tk, "BLOCK_ROWS", 150)
-    monkeypatch.setattr(tk, "GROUP_ROWS", 4)
+    monkeypatch.setattr(tk, "AT_ONCE", 4)
     rng = np.random.default_rng(seed)
     rows = [(int(i), [float(x) for x in rng.normal(0, spread, 8)]) for i in range(600)]
     rows += [(1000 + i, list(rows[7][1])) for i in range(40)]  # ties
@@ -46,6 +46,23 @@ def test_odd_rows(spark):
     assert tk.digest(table(spark, [])).count() == 0
 
 
+def test_lengths_of_all_sizes(spark, monkeypatch):
+    """A very long vector is dealt apart and widens no other block."""
+    monkeypatch.setattr(tk, "BLOCK_CELLS", 1 << 10)
+    rng = np.random.default_rng(9)
+    rows = [(int(i), [float(x) for x in rng.normal(0, 1, int(rng.integers(1, 70)))]) for i in range(200)]
+    rows += [(1000, [0.5] * 50_000), (1001, [-0.25] * 40_000)]
+    same(tk.digest(table(spark, rows)), brute(rows))
+    assert tk._blocks({1: 4097, 6: 17, 16: 3}) == {1: (0, 9), 6: (9, 2), 16: (11, 3)}
+
+
+def test_vectors_are_shuffled_once(spark):
+    """One exchange deals rows and queries, one merges; no cell has its own copy of a block."""
+    rows = [(i, [float(i), 1.0]) for i in range(200)]
+    plan = tk.digest(table(spark, rows))._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange ") <= 2 and "Generate" in plan
+
+
 def test_index_stops_before_the_last_level_and_is_exact():
     rng = np.random.default_rng(4)
     centre = rng.normal(0, 1, (5, 16))
