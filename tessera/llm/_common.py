@@ -39,7 +39,7 @@ def count_words(text: Column) -> Column:
     ).cast("long")
 
 
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch(df: DataFrame, label: str) -> DataFrame:
@@ -50,10 +50,10 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    before = spark.conf.get(_CLEAN, "false")
-    spark.conf.set(_CLEAN, "true")
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEAN, before)
+        spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,14 +1,16 @@
 """Line dedup: levelled sorted runs of line hashes (native).
 
-A *run* is a Parquet table of (h1, h2, n_docs) sorted by the 128-bit line hash.
-Documents come in batches. The distinct line keys of a batch are counted
-(partial aggregates leave one row per key and task, so a line found
-everywhere costs one row per task), anti-joined with the keys whose counts in
-the runs have already reached ``min_docs`` (nothing is left to learn about
-those) and written as a new run at level 0. ``fan_in`` runs of a level are
-compacted into one run of the next level by summing their counts. Both inputs
-of that anti-join and of every compaction are hash-partitioned and sorted on
-the line hash, so each is a merge.
+A *run* is a Parquet table of (h1, h2, n_docs), bucketed and sorted by the
+128-bit line hash. Documents come in batches; the distinct line keys of a batch are
+counted (partial aggregates leave one row per key and task, so a line found
+everywhere costs one row per task). A new batch is merged with each run on the
+hash; keys whose counts in the runs already reach ``min_docs`` are left out
+(nothing is left to learn about those), the others become a new run at level 0.
+``fan_in`` runs of a level are compacted into one run of the next level by merging
+them and summing their counts. All these joins are merges of sorted buckets: no row
+of a run is shuffled or sorted again to be read (``spark.sql.shuffle.partitions``
+at the first write sets the buckets). With a ``folder`` of its own, ``save`` and ``load``
+keep the runs for later batches, also in another session.
 
 Defined results: null or empty text is one empty line; the empty key is never
 dropped; a key repeated inside one document counts once; repeated rows are
@@ -18,10 +20,14 @@ whatever their names, are carried through untouched.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm._common import ASCII_SPACE, ascii_lower, scratch, text_key
+from tessera.llm._common import ASCII_SPACE, CLEAN, ascii_lower, text_key
+from tessera.session import own_table, shared_path
 
 BATCHES = 4
 FAN_IN = 2
@@ -41,67 +47,144 @@ def _distinct_hashes(keys: Column) -> Column:
     return F.transform(F.filter(F.array_distinct(keys), lambda x: x != ""), _hash)
 
 
-class LineRuns:
-    """The levels: ``levels[i]`` holds up to ``fan_in - 1`` runs of level i."""
+_KEY = ["h1", "h2"]
+_SORTED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+
+def _merged(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two runs as one: counts of the same key are added."""
+    n = F.coalesce(F.col("n_docs"), F.lit(0)) + F.coalesce(F.col("more"), F.lit(0))
+    return left.join(right.withColumnRenamed("n_docs", "more").hint("merge"), _KEY, "full").select(*_KEY, n.alias("n_docs"))
 
-    def __init__(self, spark: SparkSession, min_docs: int, fan_in: int = FAN_IN):
-        self.spark, self.min_docs, self.fan_in = spark, min_docs, fan_in
-        self.levels: list[list[DataFrame]] = []
+
+def _bucketed(rows: DataFrame, path: str, buckets: int) -> str:
+    """Write a table bucketed and sorted by the line hash; its name. Spark may
+    delete the job's shuffle files once it is written."""
+    spark, name = rows.sparkSession, f"line_run_{uuid.uuid4().hex}"
+    before = {key: spark.conf.get(key, "false") for key in (_SORTED, CLEAN)}
+    try:
+        for key in before:
+            spark.conf.set(key, "true")
+        rows.write.format("parquet").bucketBy(buckets, *_KEY).sortBy(*_KEY).option("path", path).saveAsTable(name)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    return own_table(spark, name)
+
+
+class LineRuns:
+    """The levels: ``levels[i]`` holds up to ``fan_in - 1`` runs of level i, as paths."""
+
+    def __init__(self, spark: SparkSession, min_docs: int, fan_in: int = FAN_IN, folder: str | None = None):
+        self.spark, self.min_docs, self.fan_in, self.folder = spark, min_docs, fan_in, folder
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[str]] = []
+        self._tables: dict[str, str] = {}
+        self.version = 0
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str, min_docs: int, fan_in: int = FAN_IN) -> LineRuns:
+        """The runs last saved in ``folder``."""
+        self = cls(spark, min_docs, fan_in, folder)
+        saved = spark.read.parquet(f"{folder}/levels")
+        # One row per run: their number grows with the logarithm of the batches.
+        newest = saved.where(F.col("version") == saved.agg(F.max("version")).first()[0]).collect()
+        self.version = newest[0].version
+        self.buckets = newest[0].buckets
+        for row in sorted(newest, key=lambda r: (r.level, r.place)):
+            while len(self.levels) <= row.level:
+                self.levels.append([])
+            if row.path is not None:
+                self.levels[row.level].append(row.path)
+        return self
+
+    def save(self) -> None:
+        """Write which runs make up the levels; earlier states stay readable until then."""
+        if self.folder is None:
+            raise ValueError("runs without a folder of their own end with the session's scratch")
+        self.version += 1
+        rows = [(level, i, path, self.buckets) for level, paths in enumerate(self.levels) for i, path in enumerate(paths)]
+        states = self.spark.createDataFrame(rows or [(0, 0, None, self.buckets)], "level int, place int, path string, buckets int")
+        states.coalesce(1).write.parquet(f"{self.folder}/levels/version={self.version}")
+
+    def _read(self, path: str) -> DataFrame:
+        if path not in self._tables:
+            name = f"line_run_{uuid.uuid4().hex}"
+            self.spark.sql(
+                f"CREATE TABLE {name} (h1 BIGINT, h2 BIGINT, n_docs BIGINT) USING parquet "
+                f"CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+            )
+            self._tables[path] = own_table(self.spark, name)
+        return self.spark.table(self._tables[path])
+
+    def _write(self, rows: DataFrame, label: str) -> str:
+        """A new run of rows that lie by bucket already: one file per bucket."""
+        path = f"{self.folder}/{label}-{uuid.uuid4().hex}" if self.folder else shared_path(self.spark, label)
+        self._tables[path] = _bucketed(rows, path, self.buckets)
+        return path
 
     def runs(self) -> list[DataFrame]:
-        return [run for level in self.levels for run in level]
+        return [self._read(path) for level in self.levels for path in level]
 
     def totals(self) -> DataFrame | None:
         """(h1, h2, n_docs) over all runs."""
         runs = self.runs()
-        if not runs:
-            return None
-        merged = runs[0]
-        for run in runs[1:]:
-            merged = merged.unionByName(run)
-        return merged.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"))
+        return reduce(_merged, runs) if runs else None
 
     def frequent(self) -> DataFrame | None:
         """Keys found in at least ``min_docs`` documents so far."""
         totals = self.totals()
-        return None if totals is None else totals.where(F.col("n_docs") >= self.min_docs).select("h1", "h2")
-
-    def add(self, counts: DataFrame) -> None:
-        """Add a batch's (h1, h2, n_docs): anti-join, write, compact."""
-        settled = self.frequent()
-        if settled is not None:
-            counts = counts.join(settled, ["h1", "h2"], "left_anti")
-        self._push(0, counts)
+        return None if totals is None else totals.where(F.col("n_docs") >= self.min_docs).select(*_KEY)
+
+    def add(self, counts: DataFrame, dealt: bool = False) -> None:
+        """Add a batch's (h1, h2, n_docs), one row per key: merge-anti-join, write,
+        compact. ``dealt``: the rows lie by the runs' buckets already."""
+        if not dealt:
+            counts = counts.repartition(self.buckets, *_KEY)
+        # The batch is the left side of every merge, so it keeps its place.
+        known = F.lit(0)
+        for i, run in enumerate(self.runs()):
+            counts = counts.join(run.select(*_KEY, F.col("n_docs").alias(f"n{i}")).hint("merge"), _KEY, "left")
+            known = known + F.coalesce(F.col(f"n{i}"), F.lit(0))
+        self._push(0, counts.where(known < self.min_docs).select(*_KEY, "n_docs"))
 
     def _push(self, level: int, rows: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        run = scratch(rows.repartition("h1", "h2").sortWithinPartitions("h1", "h2"), f"line-run-l{level}")
-        self.levels[level].append(run)
+        self.levels[level].append(self._write(rows, f"line-run-l{level}"))
         if len(self.levels[level]) >= self.fan_in:
-            runs, self.levels[level] = self.levels[level], []
-            merged = runs[0]
-            for other in runs[1:]:
-                merged = merged.unionByName(other)
-            self._push(level + 1, merged.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs")))
-
-
-def build_runs(docs: DataFrame, min_docs: int, text: str = "text", batches: int = BATCHES, fan_in: int = FAN_IN) -> LineRuns:
-    """Feed ``docs`` to new runs in ``batches`` batches; the text is read once."""
+            paths, self.levels[level] = self.levels[level], []
+            # Two at a time: the keys of a merge of both sides carry no
+            # partitioning that Spark knows, so each is written.
+            while len(paths) > 2:
+                two = _merged(self._read(paths.pop(0)), self._read(paths.pop(0)))
+                paths.append(self._write(two, f"line-run-l{level}"))
+            self._push(level + 1, _merged(*map(self._read, paths)))
+
+
+def add_documents(runs: LineRuns, docs: DataFrame, text: str = "text", batches: int = 1) -> LineRuns:
+    """Feed ``docs`` to the runs in ``batches`` batches; the text is read once, one
+    exchange lays the counts of all batches by bucket."""
     keyed = docs.select(
         F.pmod(text_key(F.col(text))[0], F.lit(batches)).cast("int").alias("batch"),
         F.explode(_distinct_hashes(line_keys(F.col(text)))).alias("h"),
     )
-    counts = scratch(
-        keyed.groupBy("batch", "h.h1", "h.h2").agg(F.count(F.lit(1)).alias("n_docs")),
-        "line-counts",
-    )
-    runs = LineRuns(docs.sparkSession, min_docs, fan_in)
+    per_batch = [F.count_if(F.col("batch") == b).alias(f"n{b}") for b in range(batches)]
+    counts = keyed.groupBy("h.h1", "h.h2").agg(*per_batch)
+    if runs.buckets != int(runs.spark.conf.get("spark.sql.shuffle.partitions")):
+        counts = counts.repartition(runs.buckets, *_KEY)  # else the grouping lays them by bucket
+    name = _bucketed(counts, shared_path(runs.spark, "line-counts"), runs.buckets)
     for b in range(batches):
-        runs.add(counts.where(F.col("batch") == b).select("h1", "h2", "n_docs"))
+        batch = runs.spark.table(name).where(F.col(f"n{b}") > 0)
+        runs.add(batch.select(*_KEY, F.col(f"n{b}").alias("n_docs")), dealt=True)
     return runs
 
 
+def build_runs(docs: DataFrame, min_docs: int, text: str = "text", batches: int = BATCHES, fan_in: int = FAN_IN) -> LineRuns:
+    """New runs of all lines of ``docs``."""
+    return add_documents(LineRuns(docs.sparkSession, min_docs, fan_in), docs, text, batches)
+
+
 def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, text: str = "text", batches: int = BATCHES, fan_in: int = FAN_IN) -> DataFrame:
     """One row per document: ``row`` (struct of all input columns), ``n_lines``,
     ``n_dropped`` (long) and ``kept`` (the other lines joined by newline)."""

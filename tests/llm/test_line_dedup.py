@@ -47,6 +47,46 @@ def test_runs_are_compacted_and_settled_keys_stop(spark):
     assert [tuple(r) for r in runs.frequent().collect()] == [(1, 1)]
 
 
+def test_runs_outlive_the_call_and_the_tables(spark, odd, tmp_path):
+    folder = str(tmp_path / "runs")
+    texts = [(r.doc_id, r.text) for r in odd.collect()]
+    first, later = texts[::2], texts[1::2]
+    docs = [spark.createDataFrame(rows, "doc_id long, text string") for rows in (first, later)]
+    runs = line_dedup.add_documents(line_dedup.LineRuns(spark, 3, folder=folder), docs[0], batches=3)
+    runs.save()
+    for name in runs._tables.values():  # as in another session
+        spark.sql(f"DROP TABLE {name}")
+    again = line_dedup.LineRuns.load(spark, folder, 3)
+    assert again.levels == runs.levels and again.buckets == runs.buckets
+    line_dedup.add_documents(again, docs[1]).save()
+    assert line_dedup.LineRuns.load(spark, folder, 3).version == 2
+    whole = line_dedup.build_runs(docs[0].union(docs[1]), 3).frequent()
+    assert again.frequent().count() > 0
+    same(again.frequent(), whole.collect())
+
+
+def test_merges_of_runs_neither_shuffle_nor_sort(spark):
+    docs = spark.createDataFrame([(i, f"a{i}\nb{i % 7}\nc") for i in range(60)], "doc_id long, text string")
+    runs = line_dedup.build_runs(docs, 3, batches=3)  # one run of level 0, one of level 1
+    assert [len(x) for x in runs.levels] == [1, 1]
+    spark.conf.set(line_dedup._SORTED, "true")
+    try:
+        plan = runs.totals()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(line_dedup._SORTED)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+
+
+@pytest.mark.parametrize("fan_in", [2, 3, 4])
+def test_levels_hold_all_counts(spark, fan_in):
+    runs = line_dedup.LineRuns(spark, 10**6, fan_in)
+    for n in range(5):
+        runs.add(spark.createDataFrame([(1, -1, n + 1), (n, n, 2)], "h1 long, h2 long, n_docs long"))
+    assert all(len(level) < fan_in for level in runs.levels)
+    got = {(r.h1, r.h2): r.n_docs for r in runs.totals().collect()}
+    assert got == {(1, -1): 15, **{(n, n): 2 for n in range(5)}}
+
+
 def test_texts_of_very_many_frequent_lines(spark):
     """Work is linear in the lines of a text: this would otherwise take minutes."""
     common = [f"frequent line {i}" for i in range(24_000)]
