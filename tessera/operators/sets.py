@@ -42,5 +42,9 @@ def vector_key(vector: str) -> Column:
 def dedup_vectors(df: DataFrame, vector: str, others: Sequence[str]) -> DataFrame:
     """Drop rows that repeat ``others`` and, entry by entry and bit by bit (but
     for the sign of a zero), the vector. The shuffle goes by the hash of the
-    whole key; within a task Spark compares the keys themselves."""
-    return df.withColumn("__key", vector_key(vector)).dropDuplicates([*others, "__key"]).drop("__key")
+    whole key; within a task Spark compares the keys themselves.
+
+    Spark sorts the rows by the key, so a hash of it goes first: long keys
+    with the same beginnings are compared only where their hashes are equal."""
+    keyed = df.withColumn("__key", vector_key(vector)).withColumn("__hash", F.xxhash64(*others, "__key"))
+    return keyed.dropDuplicates(["__hash", *others, "__key"]).drop("__hash", "__key")

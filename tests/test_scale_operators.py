@@ -142,3 +142,14 @@ def test_split_is_exact_in_every_stratum(spark, plain_joins, fraction):
     again = sampling.exact_split(df.repartition(5, "key"), "l", ["key"], fraction).collect()
     assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, rows), key=repr)
     assert sampling.exact_split(df.limit(0), "l", ["key"]).count() == 0
+
+
+def test_vector_duplicates_are_sorted_by_a_hash_first(spark):
+    # Few labels: without the hash the sort compares whole vectors.
+    rows = [("a" if i % 2 else "b", Vectors.dense([1.0, 2.0, i % 7 * 0.5])) for i in range(140)]
+    kept = sets.dedup_vectors(spark.createDataFrame(rows, ["label_f", "features"]).repartition(3), "features", ["label_f"])
+    assert kept.columns == ["label_f", "features"]
+    got = sorted((r.label_f, tuple(r.features.toArray())) for r in kept.collect())
+    assert got == sorted({(label, tuple(v.toArray())) for label, v in rows}) and len(got) == 14
+    sorts = [x for x in kept._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in x]
+    assert sorts and all("Sort [__hash" in x for x in sorts)

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions.text import STOP_WORDS, clean_text
+from tessera.functions.text import STOP_WORDS, clean_text, field
 from tessera.plans import text
 
 
@@ -71,3 +71,21 @@ def test_whole_long_text_is_tokenised(spark):
     body = " ".join(["word"] * 30000)
     toks = text.tokens(complaints(spark, ["2015-01-01,A," + body]))
     assert toks.count() == 30000
+
+
+def test_records_of_odd_lines(spark):
+    lines = [
+        "", ",", ",,", ",,x", "201", "201,a", "201,a,", "201,a,b", "201,a,b,", "201,a,b,,", "201,,b", "201,a,b\n", "201,a\nb,\nc\n",
+        "2015,é,,", " 201,a,b", "201,a, ", "201,a,K İ", ",201,a", "201\x00,a,b", "2015-01-01,A," + "w " * 5000, None,
+    ]
+    rows = text.valid_records(complaints(spark, lines)).collect()
+    parts = [(i, x.split(",")) for i, x in enumerate(lines) if x is not None]
+    want = [(i, p[1], p[2]) for i, p in parts if len(p) == 3 and p[2] and p[0].startswith("201")]
+    assert sorted((r.doc_id, r.label, r.comment) for r in rows) == want and len(want) == 8
+    got = spark.createDataFrame([("a|b",), ("",), (None,)], "x string").select(*[field("x", i, "|").alias(f"f{i}") for i in range(3)]).collect()
+    assert [tuple(r) for r in got] == [("a", "b", "b"), ("", "", ""), (None, None, None)]
+
+
+def test_records_are_cut_without_bytewise_searches(spark):
+    plan = text.valid_records(complaints(spark, ["2015-01-01,A,b"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan and "substring_index" not in plan and "replace(" not in plan
