@@ -31,7 +31,7 @@ from tessera.session import shared_path
 
 class LexiconFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """complaints (doc_id, line) -> (doc_id, label_f, features, features_key)
-    with a fitted vocabulary."""
+    with a fitted vocabulary. The side of a split, if there, is kept."""
 
     words = Param(Params._dummy(), "words", "lexicon words by index", typeConverter=TypeConverters.toListString)
     idf = Param(Params._dummy(), "idf", "ln(N / df) by index", typeConverter=TypeConverters.toListFloat)
@@ -48,7 +48,13 @@ class LexiconFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         weights = self.weights
-        return text.feature_vectors(text.count_vectors(dataset, text.Lexicon(weights.words, 0)), weights)
+        side = [c for c in dataset.columns if c == "split"]
+        return text.feature_vectors(text.count_vectors(dataset, text.Lexicon(weights.words, 0), *side), weights, *side)
+
+    def weigh(self, vectors: DataFrame) -> DataFrame:
+        """What ``transform`` gives for the complaints whose words are counted
+        in ``vectors`` (``Lexicon.fit_counts``), without their texts."""
+        return text.feature_vectors(vectors, self.weights)
 
 
 class Lexicon(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -62,7 +68,16 @@ class Lexicon(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs) if self._input_kwargs else self._set(size=size)
 
     def _fit(self, dataset: DataFrame) -> LexiconFeatures:
-        weights = text.fitted_weights(dataset, self.getOrDefault("size"))
+        return self._features(text.fitted_weights(dataset, self.getOrDefault("size")))
+
+    def fit_counts(self, dataset: DataFrame) -> tuple[LexiconFeatures, DataFrame]:
+        """``fit``, and the counts of the lexicon words it was fitted on, written
+        to the shared folder: also two passes over the texts."""
+        vectors, _, weights = text.fitted_counts(dataset, self.getOrDefault("size"))
+        return self._features(weights), vectors
+
+    @staticmethod
+    def _features(weights: text.Weights) -> LexiconFeatures:
         return LexiconFeatures(words=list(weights.words), idf=list(weights.idf), size=weights.size)
 
 
@@ -70,9 +85,9 @@ def fit(complaints: DataFrame, k: int = text.LEXICON_SIZE, max_iter: int = learn
     """Fit all stages on the complaints: lexicon, then label index and
     perceptron on the distinct feature rows, which are written once."""
     spark = complaints.sparkSession
-    features = Lexicon(size=k).fit(complaints)
+    features, counts = Lexicon(size=k).fit_counts(complaints)
     path = shared_path(spark, "model-features")
-    features.transform(complaints).write.parquet(path)
+    features.weigh(counts).write.parquet(path)
     ds = learn.dataset(spark.read.parquet(path))
     if not ds.labels:
         raise ValueError("no complaint has a lexicon word: nothing to fit on")
@@ -92,8 +107,10 @@ def load(path: str) -> PipelineModel:
 
 
 def score(complaints: DataFrame, model: PipelineModel) -> DataFrame:
-    """(doc_id, label_f, prediction, predicted) for complaints with features."""
-    return model.transform(complaints).select("doc_id", "label_f", "prediction", "predicted")
+    """(doc_id, label_f, prediction, predicted) for complaints with features;
+    and split, the side they are on, if the complaints have it."""
+    side = [c for c in complaints.columns if c == "split"]
+    return model.transform(complaints).select("doc_id", "label_f", "prediction", "predicted", *side)
 
 
 def fit_split(complaints: DataFrame) -> DataFrame:
@@ -109,10 +126,6 @@ def stored(spark: SparkSession, complaints: DataFrame, max_iter: int = learn.MAX
 
 def score_stored(complaints: DataFrame, path: str) -> DataFrame:
     """Every complaint scored by the stored model, with the side it was on:
-    (doc_id, label_f, split, prediction, predicted); 'test' ones are new to it."""
-    model, sides = load(path), fit_split(complaints)
-
-    def side(name: str) -> DataFrame:
-        return score(sides.where(F.col("split") == name), model).withColumn("split", F.lit(name))
-
-    return side("test").unionByName(side("train"))
+    (doc_id, label_f, prediction, predicted, split); 'test' ones are new to it.
+    One pass over the complaints."""
+    return score(fit_split(complaints), load(path))

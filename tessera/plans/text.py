@@ -44,15 +44,16 @@ WEIGHT_DECIMALS = 6
 RECORD_MARKER = "#"
 
 
-def valid_records(complaints: DataFrame) -> DataFrame:
-    """(doc_id, label, comment) of the usable raw records."""
+def valid_records(complaints: DataFrame, *carried: str) -> DataFrame:
+    """(doc_id, label, comment) of the usable raw records, and the carried
+    columns."""
     return complaints.where(valid_record("line")).select(
-        "doc_id", field("line", 1).alias("label"), field("line", 2).alias("comment")
+        "doc_id", field("line", 1).alias("label"), field("line", 2).alias("comment"), *carried
     )
 
 
-def cleaned(complaints: DataFrame) -> DataFrame:
-    return valid_records(complaints).select("doc_id", "label", clean_text("comment").alias("clean"))
+def cleaned(complaints: DataFrame, *carried: str) -> DataFrame:
+    return valid_records(complaints, *carried).select("doc_id", "label", clean_text("comment").alias("clean"), *carried)
 
 
 def tokens(complaints: DataFrame) -> DataFrame:
@@ -145,19 +146,20 @@ def fit_lexicon(complaints: DataFrame, k: int = LEXICON_SIZE) -> Lexicon:
     return Lexicon(tuple(r.word for r in rows), rows[0].n_records if rows else 0)
 
 
-def count_vectors(complaints: DataFrame, lex: Lexicon) -> DataFrame:
-    """(doc_id, label, tf): the term frequencies by idx as a sparse vector.
+def count_vectors(complaints: DataFrame, lex: Lexicon, *carried: str) -> DataFrame:
+    """(doc_id, label, tf): the term frequencies by idx as a sparse vector; and
+    the carried columns of the complaints.
 
     The lexicon is a hash dictionary in the JVM, sent to each executor once:
     a record costs its words, whatever the size of the lexicon. Nothing is
     shuffled.
     """
-    rows = cleaned(complaints).select("doc_id", "label", words("clean").alias("words"))
+    rows = cleaned(complaints, *carried).select("doc_id", "label", words("clean").alias("words"), *carried)
     if not lex.words:
         nothing = array_to_vector(F.array().cast("array<double>"))
-        return rows.where(F.lit(False)).select("doc_id", "label", nothing.alias("tf"))
+        return rows.where(F.lit(False)).select("doc_id", "label", nothing.alias("tf"), *carried)
     dictionary = CountVectorizerModel.from_vocabulary(list(lex.words), inputCol="words", outputCol="tf")
-    return dictionary.transform(rows).select("doc_id", "label", "tf")
+    return dictionary.transform(rows).select("doc_id", "label", "tf", *carried)
 
 
 def written_counts(complaints: DataFrame, lex: Lexicon) -> DataFrame:
@@ -171,9 +173,9 @@ def written_counts(complaints: DataFrame, lex: Lexicon) -> DataFrame:
 
 def _counts(vectors: DataFrame) -> DataFrame:
     """(doc_id, label, tf, idxs, counts, max_tf) of the records with a lexicon
-    word: the entries of the sparse vector as two arrays."""
+    word: the entries of the sparse vector as two arrays; and what is carried."""
     entry = F.unwrap_udt("tf")
-    found = vectors.select("doc_id", "label", "tf", entry.getField("indices").alias("idxs"), entry.getField("values").alias("counts"))
+    found = vectors.select("*", entry.getField("indices").alias("idxs"), entry.getField("values").alias("counts"))
     return found.where(F.size("idxs") > 0).withColumn("max_tf", F.array_max("counts"))
 
 
@@ -261,7 +263,9 @@ def weighted(vectors: DataFrame, weights: Weights) -> DataFrame:
     return _normalised(vectors).withColumn("weight", weight)
 
 
-def _fitted(complaints: DataFrame, k: int) -> tuple[DataFrame, Lexicon, Weights]:
+def fitted_counts(complaints: DataFrame, k: int = LEXICON_SIZE) -> tuple[DataFrame, Lexicon, Weights]:
+    """The written count vectors of the complaints and the vocabulary fitted on
+    them: two passes over the texts."""
     lex = fit_lexicon(complaints, k)
     vectors = written_counts(complaints, lex)
     return vectors, lex, fit_weights(vectors, lex, k)
@@ -276,14 +280,15 @@ def fitted_weights(complaints: DataFrame, k: int = LEXICON_SIZE) -> Weights:
 
 def tfidf(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """(doc_id, label, idx, word, weight = tf_norm * idf)."""
-    vectors, lex, weights = _fitted(complaints, k)
+    vectors, lex, weights = fitted_counts(complaints, k)
     rows = _entries(weighted(vectors, weights), "weight", lex, "weight")
     return rows.select("doc_id", "label", "idx", "word", "weight")
 
 
-def feature_vectors(vectors: DataFrame, weights: Weights) -> DataFrame:
+def feature_vectors(vectors: DataFrame, weights: Weights, *carried: str) -> DataFrame:
     """One row per document with a lexicon word:
-    (doc_id, label_f, features: k-wide vector, features_key).
+    (doc_id, label_f, features: k-wide vector, features_key), and the carried
+    columns.
 
     ``VectorAssembler`` stores the vectors sparse where that is smaller.
     ``features_key`` spells the words present as "idx:round(weight * 1e6)" for
@@ -305,16 +310,17 @@ def feature_vectors(vectors: DataFrame, weights: Weights) -> DataFrame:
         F.col("label").alias("label_f"),
         array_to_vector(dense).alias("dense"),
         F.array_join(spelled, " ").alias("features_key"),
+        *carried,
     )
     # The size is known: without the hint the assembler runs a job to look.
     sized = VectorSizeHint(inputCol="dense", size=weights.size, handleInvalid="optimistic").transform(rows)
     assembled = VectorAssembler(inputCols=["dense"], outputCol="features").transform(sized)
-    return assembled.select("doc_id", "label_f", "features", "features_key")
+    return assembled.select("doc_id", "label_f", "features", "features_key", *carried)
 
 
 def tfidf_vectors(complaints: DataFrame, k: int = LEXICON_SIZE) -> DataFrame:
     """``feature_vectors`` of the complaints with the vocabulary fitted on them."""
-    vectors, _, weights = _fitted(complaints, k)
+    vectors, _, weights = fitted_counts(complaints, k)
     return feature_vectors(vectors, weights)
 
 

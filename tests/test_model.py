@@ -85,3 +85,31 @@ def test_nothing_to_fit_on(spark):
 def test_lookup_costs_no_shuffle_of_documents(spark):
     plan = text.term_frequency(fx.complaints(spark, SF_SMALL), 5000)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "array_contains" not in plan and "array_remove" not in plan
+
+
+def test_texts_are_read_once_to_score_and_twice_to_fit(spark, path, monkeypatch):
+    scored = model.score_stored(fx.complaints(spark, SF_SMALL), path)
+    assert scored.columns == ["doc_id", "label_f", "prediction", "predicted", "split"]
+    assert scored._jdf.queryExecution().executedPlan().toString().count("documents.parquet") == 1
+    # The sides and the predictions are those of the complaints by themselves.
+    alone = {r.doc_id: (r.label_f, r.prediction, r.predicted) for r in model.score(fx.complaints(spark, SF_SMALL), model.load(path)).collect()}
+    sides = {r.doc_id: r.split for r in model.fit_split(fx.complaints(spark, SF_SMALL)).collect()}
+    rows = scored.collect()
+    assert len(rows) == len(alone)
+    assert {r.doc_id: (r.label_f, r.prediction, r.predicted) for r in rows} == alone
+    assert all(r.split == sides[r.doc_id] for r in rows)
+    passes = []
+    for name in ("fit_lexicon", "count_vectors"):
+        real = getattr(text, name)
+        monkeypatch.setattr(text, name, lambda *a, f=real, n=name: passes.append(n) or f(*a))
+    model.fit(fx.complaints(spark, SF_SMALL), max_iter=1)
+    assert passes == ["fit_lexicon", "count_vectors"]
+
+
+def test_counts_of_the_fit_give_the_transformed_features(spark):
+    complaints = fx.complaints(spark, SF_SMALL)
+    features, counts = model.Lexicon().fit_counts(complaints)
+    alone = model.Lexicon().fit(complaints)
+    assert features.weights == alone.weights
+    a, b = ({r.doc_id: r for r in df.collect()} for df in (features.weigh(counts), alone.transform(complaints)))
+    assert a == b and a
